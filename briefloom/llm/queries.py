@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, media, mixing, url_filter
+from . import embedding_dedup, language, licenses, media, mixing, near_dedup, packing, url_filter
 from .tables import load
 
 
@@ -17,6 +17,10 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.describe_media(media.store_texts(load(spark, sf_dir, "documents")))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
     return url_filter.judge_pages(load(spark, sf_dir, "pages"), rules)
@@ -27,11 +31,19 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", F.col("source"), "before")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(load(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_media_columns, op4_url_filter, op5_mixing, op8_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_media_columns, op3_minhash_near_dedup, op4_url_filter, op5_mixing, op6_embedding_near_dedup, op7_packing, op8_license_scan)}
 
 _URL = r"""
 with u as (
@@ -72,4 +84,34 @@ select doc_id, size, source_size, target,
   source, before from q
 """
 
-SQL = {"op4_url_filter": _URL, "op5_mixing": _MIX}
+_NEAR = r"""
+with recursive w as (
+  select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) as ws from documents),
+s as (
+  select distinct doc_id, unnest(case when len(ws) = 0 then []::varchar[] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as i from s a join s b using (g) where a.doc_id <> b.doc_id group by all),
+l as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * i >= 85 * (a.n + b.n - i)),
+r(a, b) as (select doc_id, doc_id from documents union select r.a, l.y from r join l on r.b = l.x),
+c as (select a, min(b) as component_id from r group by a)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d join c on c.a = d.doc_id left join n on n.doc_id = d.doc_id
+"""
+
+_VECTORS = r"""
+with recursive v as (
+  select vec_id, embedding::double[] as e from embeddings),
+g as (
+  select vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) as norm from v
+  where e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0),
+u as (select vec_id, list_transform(e, lambda x: x / norm) as e from g where norm > 0),
+l as (select a.vec_id as x, b.vec_id as y from u a join u b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_dot_product(a.e, b.e) >= 0.95),
+r(a, b) as (select vec_id, vec_id from v union select r.a, l.y from r join l on r.b = l.x),
+c as (select a, min(b) as component_id from r group by a),
+k as (select x, count(*) as n from l group by x)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from v join c on a = vec_id left join k on x = vec_id
+"""
+
+SQL = {"op3_minhash_near_dedup": _NEAR, "op6_embedding_near_dedup": _VECTORS, "op4_url_filter": _URL, "op5_mixing": _MIX}
