@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, language, licenses, media, mixing, near_dedup, packing, url_filter
+from . import attention_lm, embedding_dedup, language, licenses, media, mixing, near_dedup, packing, url_filter
 from .tables import load
 
 
@@ -43,7 +43,11 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_media_columns, op3_minhash_near_dedup, op4_url_filter, op5_mixing, op6_embedding_near_dedup, op7_packing, op8_license_scan)}
+def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_media_columns, op3_minhash_near_dedup, op4_url_filter, op5_mixing, op6_embedding_near_dedup, op7_packing, op8_license_scan, op10_attention_lm)}
 
 _URL = r"""
 with u as (
