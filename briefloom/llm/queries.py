@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, embedding_dedup, language, licenses, media, mixing, near_dedup, packing, url_filter
+from . import attention_lm, embedding_dedup, language, licenses, media, mixing, near_dedup, packing, substring_dedup, url_filter
 from .tables import load
 
 
@@ -43,11 +43,15 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(load(spark, sf_dir, "documents"))
+
+
 def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.score(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_media_columns, op3_minhash_near_dedup, op4_url_filter, op5_mixing, op6_embedding_near_dedup, op7_packing, op8_license_scan, op10_attention_lm)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_media_columns, op3_minhash_near_dedup, op4_url_filter, op5_mixing, op6_embedding_near_dedup, op7_packing, op8_license_scan, op9_suffix_array_dedup, op10_attention_lm)}
 
 _URL = r"""
 with u as (
@@ -118,4 +122,20 @@ select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = compone
 from v join c on a = vec_id left join k on x = vec_id
 """
 
-SQL = {"op3_minhash_near_dedup": _NEAR, "op6_embedding_near_dedup": _VECTORS, "op4_url_filter": _URL, "op5_mixing": _MIX}
+_REPEATS = r"""
+with d as (select doc_id, encode(coalesce(text, '')) as b from documents),
+w as (select doc_id, b, octet_length(b) as n, unnest(range(1, octet_length(b) - 98)) as s from d where octet_length(b) >= 100),
+h as (select doc_id, s, row_number() over (partition by md5(hex(b[s:s + 99])) order by doc_id, s) as k from w),
+late as (select doc_id, s, s - row_number() over (partition by doc_id order by s) as one_run from h where k > 1),
+runs as (select doc_id, min(s) as s, max(s) + 100 as e from late group by doc_id, one_run),
+j as (select *, case when s <= max(e) over (partition by doc_id order by s rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh from runs),
+k as (select *, sum(fresh) over (partition by doc_id order by s) as span from j),
+m as (select doc_id, span, min(s) as s, max(e) as e from k group by doc_id, span),
+g as (select doc_id, count(*) as n_spans, sum(e - s)::bigint as n_removed, list(s order by s) as ss, list(e order by s) as es from m group by doc_id)
+select d.doc_id, octet_length(b)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  case when ss is null then sha256(b) else sha256(unhex(array_to_string(list_transform(range(1, len(ss) + 2),
+    lambda i: hex(b[(case when i = 1 then 1 else es[i - 1] end):(case when i > len(ss) then octet_length(b) else ss[i] - 1 end)])), ''))) end as kept_sha256
+from d left join g on g.doc_id = d.doc_id
+"""
+
+SQL = {"op3_minhash_near_dedup": _NEAR, "op6_embedding_near_dedup": _VECTORS, "op4_url_filter": _URL, "op5_mixing": _MIX, "op9_suffix_array_dedup": _REPEATS}
