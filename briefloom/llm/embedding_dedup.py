@@ -26,6 +26,8 @@ from .tables import stored
 
 COSINE = 0.95
 TILE = 2048
+#: Projections are integers of this many steps a unit, so that all tasks agree on them.
+SCALE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -40,8 +42,9 @@ class Plan:
     window: float
 
     @property
-    def cell(self) -> float:
-        return 4 * self.window
+    def steps(self) -> int:
+        """The window in steps of a quantized projection; cells are four windows wide."""
+        return round(self.window * SCALE)
 
 
 def calibrate(n: int, cosine: float = COSINE, recall: float = 0.99, counters: int = 16) -> Plan:
@@ -66,6 +69,12 @@ def directions(dim: int, n: int) -> np.ndarray:
     return np.random.default_rng([11, dim]).standard_normal((dim, n))
 
 
+def project(plan: Plan, x: np.ndarray) -> np.ndarray:
+    """Quantized projections, one row per direction."""
+    r = directions(x.shape[1], plan.tables * plan.leads + plan.counters)
+    return np.ascontiguousarray(np.rint((x @ r).T * SCALE).astype(np.int32))
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -74,7 +83,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def spread(classes: DataFrame, plan: Plan) -> DataFrame:
     """(cell, query, cid, n, dim, table, vec) rows: each class as query in its own cell
     of every table, and as stored vector in each cell that its windows reach."""
-    g, per = plan.leads, plan.tables * plan.leads + plan.counters
+    g, cell = plan.leads, 4 * plan.steps
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -85,12 +94,11 @@ def spread(classes: DataFrame, plan: Plan) -> DataFrame:
                 for dim in np.unique(lengths):
                     rows = np.flatnonzero(lengths == dim)
                     x = _unit(np.array([lists[int(i)].as_py() for i in rows], np.float64))
-                    proj = x @ directions(int(dim), per)
+                    proj = project(plan, x).T.astype(np.int64)
                     at, cells, table, query = [], [], [], []
                     for t in range(plan.tables):
                         p = proj[:, t * g : (t + 1) * g]
-                        own = np.floor(p / plan.cell).astype(np.int64)
-                        low, high = np.floor((p - plan.window) / plan.cell).astype(np.int64), np.floor((p + plan.window) / plan.cell).astype(np.int64)
+                        own, low, high = p // cell, (p - plan.steps) // cell, (p + plan.steps) // cell
                         idx, grid = np.arange(len(rows)), np.zeros((len(rows), 0), np.int64)
                         for j in range(g):  # a window is narrower than a cell: one cell or two
                             two = high[idx, j] > low[idx, j]
@@ -113,46 +121,73 @@ def spread(classes: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _tile(plan: Plan, q: np.ndarray, d: np.ndarray, t: int, q_id: np.ndarray, d_id: np.ndarray, d_n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Linked weight of each query, and edges that span the links of a tile."""
-    g, dim = plan.leads, q.shape[1]
-    r = directions(dim, plan.tables * g + plan.counters)
-    pq, pd = q @ r, d @ r
+    """Linked weight of each query, and edges that span the links of a tile.
+
+    A pair belongs to the first table in which it collides, so no pair counts
+    twice.  Where few pairs pass the leading windows they are listed; where many
+    do, as in a group of near copies, the tests run over the block.
+    """
+    g = plan.leads
+    pq, pd = project(plan, q), project(plan, d)
     ids, where = np.unique(np.concatenate([q_id, d_id]), return_inverse=True)
+    wq, wd = where[: len(q)], where[len(q) :]
     root, weight = np.arange(len(ids)), np.zeros(len(q), np.int64)
     edges = []
+    w = plan.steps
+    counting = range(plan.tables * g, plan.tables * g + plan.counters)
     step = max(1, (1 << 20) // max(1, len(d)))
     for lo in range(0, len(q), step):
         hi = min(len(q), lo + step)
+        near = lambda j, lo=lo, hi=hi: np.abs(pq[j, lo:hi, None] - pd[j][None, :]) <= w
         hit = q_id[lo:hi, None] != d_id[None, :]
         for j in range(t * g, (t + 1) * g):
-            hit &= np.abs(pq[lo:hi, j, None] - pd[None, :, j]) <= plan.window
-        a, b = np.nonzero(hit)
-        a += lo
-        for s in range(0, len(a), 1 << 17):
-            i, k = a[s : s + (1 << 17)], b[s : s + (1 << 17)]
-            near = np.abs(pq[i] - pd[k]) <= plan.window
-            # a pair belongs to the first table in which it collides
-            ok = near[:, plan.tables * g :].sum(axis=1) >= plan.least
+            hit &= near(j)
+        if np.count_nonzero(hit) > 0.03 * hit.size:
+            for u in range(t):
+                before = near(u * g)
+                for j in range(u * g + 1, (u + 1) * g):
+                    before &= near(j)
+                hit &= ~before
+            if not hit.any():
+                continue
+            count = np.zeros(hit.shape, np.int8)
+            for j in counting:
+                count += near(j)
+            hit &= count >= plan.least
+            hit &= q[lo:hi] @ d.T >= plan.cosine
+            weight[lo:hi] += (hit @ d_n.astype(np.float64)).astype(np.int64)
+            i, k = np.nonzero(hit & (root[wq[lo:hi], None] != root[wd][None, :]))
+            i += lo
+        else:
+            i, k = np.nonzero(hit)
+            i += lo
             for u in range(t):
-                ok &= ~near[:, u * g : (u + 1) * g].all(axis=1)
+                ok = np.zeros(len(i), bool)
+                for j in range(u * g, (u + 1) * g):
+                    ok |= np.abs(pq[j][i] - pd[j][k]) > w
+                i, k = i[ok], k[ok]
+            count = np.zeros(len(i), np.int8)
+            for j in counting:
+                count += np.abs(pq[j][i] - pd[j][k]) <= w
+            ok = count >= plan.least
             i, k = i[ok], k[ok]
             ok = np.einsum("ij,ij->i", q[i], d[k]) >= plan.cosine
             i, k = i[ok], k[ok]
-            np.add.at(weight, i, d_n[k])
-            x, y = where[i], where[len(q) + k]
-            while len(x):
-                x, y = root[x], root[y]
-                ok = x != y
-                x, y = x[ok], y[ok]
-                if not len(x):
-                    break
-                parent = np.arange(len(ids))
-                np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
-                moved = np.flatnonzero(parent != np.arange(len(ids)))
-                edges.append(np.c_[ids[moved], ids[parent[moved]]])
-                while (parent != parent[parent]).any():
-                    parent = parent[parent]
-                root = parent[root]
+            weight += np.bincount(i, weights=d_n[k], minlength=len(q)).astype(np.int64)
+        x, y = wq[i], wd[k]
+        while len(x):
+            x, y = root[x], root[y]
+            ok = x != y
+            x, y = x[ok], y[ok]
+            if not len(x):
+                break
+            parent = np.arange(len(ids))
+            np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+            moved = np.flatnonzero(parent != np.arange(len(ids)))
+            edges.append(np.c_[ids[moved], ids[parent[moved]]])
+            while (parent != parent[parent]).any():
+                parent = parent[parent]
+            root = parent[root]
     e = np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
     return weight, e[:, 0], e[:, 1]
 
