@@ -201,7 +201,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     have, order = 8, None
     key = word
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         step = key[order]
         rank = np.empty(len(key), np.int64)
         rank[order] = np.cumsum(np.r_[0, step[1:] != step[:-1]])
@@ -224,19 +224,21 @@ def window_classes(order: np.ndarray, text: np.ndarray, length: int) -> np.ndarr
     by_byte = np.argsort(bwt, kind="stable")
     same = np.r_[False, bwt[by_byte][1:] == bwt[by_byte][:-1]]
     boundary = ~same  # value 0: another first byte
-    to = np.flatnonzero(same)  # LF(j) of the undecided
-    j, i = by_byte[to], by_byte[to - 1]
-    fresh = boundary
-    for _ in range(1, length):
+    to = np.flatnonzero(same).astype(np.int32)  # LF(j) of the undecided
+    j, i = by_byte[to].astype(np.int32), by_byte[to - 1].astype(np.int32)
+    fresh = boundary.copy()
+    for value in range(1, length):
         if not len(to) or not fresh.any():
             break
         seen = np.cumsum(fresh, dtype=np.int32)
-        hit = seen[j] > seen[i]
+        hit = seen.take(j) > seen.take(i)
         fresh = np.zeros(n, bool)
         fresh[to[hit]] = True
-        boundary = boundary | fresh
-        keep = ~hit
-        to, j, i = to[keep], j[keep], i[keep]
+        fresh &= ~boundary
+        boundary |= fresh
+        if value < 16 or value % 8 == 0:  # decided places stay decided; leave them out now and then
+            keep = ~boundary[to]
+            to, j, i = to[keep], j[keep], i[keep]
     return boundary
 
 
