@@ -102,9 +102,9 @@ def ordered_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     # equal rows share one entry: the join below must not multiply them
     plays = plays.groupBy("doc_id", "source", "q_hash").agg(F.max(F.size("q_epochs")).alias("q_times"), F.min((F.col("before") + F.col("size")) / F.col("target")).alias("q_finish"), F.max(F.col("source_size") / F.col("target")).alias("q_round"))
     plays = plays.select(*[F.col(c).alias(f"p_{c}") for c in ("doc_id", "source", "q_hash")], "q_times", "q_finish", "q_round")
-    d = docs.withColumn("q_hash", F.xxhash64("text"))
+    d = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", F.xxhash64("text").alias("q_hash"))
     on = d["doc_id"].eqNullSafe(F.col("p_doc_id")) & d["source"].eqNullSafe(F.col("p_source")) & (d["q_hash"] == F.col("p_q_hash"))
     out = d.join(plays, on).withColumn("q_epoch", F.explode(F.sequence(F.lit(0), F.col("q_times") - 1)))
-    out = out.withColumn("q_time", F.col("q_finish") + F.col("q_epoch") * F.col("q_round"))
+    out = out.select("row", d["doc_id"].alias("q_id"), (F.col("q_finish") + F.col("q_epoch") * F.col("q_round")).alias("q_time"))
     n = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return out.repartitionByRange(n, "q_time", "doc_id").sortWithinPartitions("q_time", "doc_id").select(*docs.columns)
+    return out.repartitionByRange(n, "q_time", "q_id").sortWithinPartitions("q_time", "q_id").select("row.*")

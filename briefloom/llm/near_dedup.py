@@ -225,7 +225,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, half: int = HALF_KE
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are the first document of their component.
 
-    One row is kept where a kept document is given more than once.
+    One row is kept where a kept document is given more than once; rows without
+    a doc_id are all kept.  Other columns, whatever their names, stay as they are.
     """
-    kept = near_duplicates(docs, percent).filter("kept").select(F.col("doc_id").alias("k_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id"))).drop("k_id")
+    kept = near_duplicates(docs, percent).filter("kept and doc_id is not null").select(F.col("doc_id").alias("k_id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id")
+    one = rows.join(kept, F.col("doc_id") == F.col("k_id")).groupBy("doc_id").agg(F.first("row").alias("row"))
+    return one.select("row.*").union(rows.filter("doc_id is null").select("row.*"))

@@ -393,17 +393,23 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeated bytes taken out of their texts (broken characters at
     the cuts are dropped); rows of which nothing is left go.  n_chars, if there,
-    follows the new text."""
-    keyed, unique = document_keys(docs)
+    follows the new text.  Other columns, whatever their names, stay as they are."""
+    rest = [c for c in docs.columns if c != "text"]
+    keyed, unique = document_keys(docs.select("doc_id", "text", F.struct(*rest).alias("rest")))
     texts = keyed.select("key", "text")
     texts = texts if unique else texts.dropDuplicates(["key"])
     gone = strip(find_repeats(texts, length, gram)).filter("n_removed > 0").select("r_key", whole_characters(F.col("kept")).alias("r_text"))
-    out = keyed.join(gone, F.col("key") == F.col("r_key"), "left")
-    text = F.when(F.col("r_key").isNotNull(), F.col("r_text")).otherwise(F.col("text"))
-    out = out.withColumn("text", text).filter("r_key is null or r_text <> ''")
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("r_key").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    out = keyed.join(gone, F.col("key") == F.col("r_key"), "left").filter("r_key is null or r_text <> ''")
+    changed = F.col("r_key").isNotNull()
+    out = out.withColumn("text", F.when(changed, F.col("r_text")).otherwise(F.col("text")))
+
+    def column(c: str):
+        if c == "text":
+            return F.col("text")
+        old = F.col("rest").getField(c)
+        return F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(old).alias(c) if c == "n_chars" else old.alias(c)
+
+    return out.select(*map(column, docs.columns))
 
 
 def whole_characters(raw):
