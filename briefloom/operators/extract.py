@@ -94,7 +94,7 @@ def plural_credits(paragraph: Column, dims: Dims = DEFAULT) -> Column:
     return F.coalesce(F.flatten(each), F.array().cast(f"array<{_CREDIT}>"))
 
 
-_CONTEXT = r"(?U)^([A-Z][\w &.,’'-]*?)\s+(?:(?:is\s)?(?:advising|representing)|advise[ds]|represent(?:ed|s)|act(?:ed|s) (?:as|for))\b"
+_CONTEXT = r"(?U)^([A-Z][\w &.,’'-]*?)\s+(?:is (?:advising|representing)|advise[ds]|represent(?:ed|s)|act(?:ed|s) (?:as|for))\b"
 
 
 def firm_context(paragraph: Column, firms: Column, dims: Dims = DEFAULT) -> Column:
@@ -103,7 +103,13 @@ def firm_context(paragraph: Column, firms: Column, dims: Dims = DEFAULT) -> Colu
     raw = F.trim(F.regexp_extract(p, _CONTEXT, 1))
     firm = F.lower(F.when(~F.lower(raw).isin("the firm", "the firm also"), canonical_firm(raw, dims)))
     match = F.array_distinct(F.filter(firms, lambda f: F.contains(firm, F.lower(f)) | F.contains(F.lower(f), firm)))
-    return F.when(firm.isNotNull() & (F.size(match) == 1), F.get(match, 0))
+    return F.when(firm.isNotNull() & (F.size(match) == 1), F.get(match, F.lit(0)))
+
+
+def carry_forward(value: Column, fallback: Column, group: str, order: str) -> Column:
+    """The last value that is not null, up to and with a row; before the first, the fallback."""
+    so_far = W.partitionBy(group).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    return F.coalesce(F.last(value, ignorenulls=True).over(so_far), fallback)
 
 
 def attribute(articles: DataFrame, dims: Dims = DEFAULT) -> DataFrame:
@@ -114,8 +120,7 @@ def attribute(articles: DataFrame, dims: Dims = DEFAULT) -> DataFrame:
     """
     rows = articles.select("ord", "law_firms", F.posexplode("paragraphs").alias("para", "raw"))
     rows = rows.withColumn("text", strip_nicknames(F.col("raw"), dims))
-    so_far = W.partitionBy("ord").orderBy("para").rowsBetween(W.unboundedPreceding, 0)
-    firm = F.coalesce(F.last(firm_context(F.col("text"), F.col("law_firms"), dims), ignorenulls=True).over(so_far), F.get("law_firms", 0))
+    firm = carry_forward(firm_context(F.col("text"), F.col("law_firms"), dims), F.get(F.col("law_firms"), F.lit(0)), "ord", "para")
     return rows.select("ord", "para", "text", firm.alias("firm"), "law_firms")
 
 

@@ -12,8 +12,12 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..dims import DEFAULT, Dims
+from ..schemas import TEXTS
+
+ANCHORS = T.ArrayType(T.StructType([T.StructField("href", T.StringType()), T.StructField("text", T.StringType())]))
 
 _BLOCK = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
@@ -88,13 +92,13 @@ def _parse(html: str | None) -> _Page:
     return page
 
 
-@F.pandas_udf("array<struct<href:string,text:string>>")
+@F.pandas_udf(ANCHORS)
 def anchors_of(html: pd.Series) -> pd.Series:
     """Every anchor with an href, in order; text pieces stripped and joined."""
     return html.map(lambda h: [{"href": a, "text": "".join(x.strip() for x in t)} for a, t in _parse(h).links])
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(TEXTS)
 def paragraphs_of(html: pd.Series) -> pd.Series:
     """Texts of the paragraphs of the first article, else the article body, else the page."""
 
