@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import drop, stored
+from .tables import mark, release, stored
 
 
-def _mark(edges: DataFrame) -> tuple:
+def _state(edges: DataFrame) -> tuple:
     r = edges.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_000_007), F.lit(0)).alias("s")).first()
     return r["n"], r["s"]
 
@@ -21,19 +21,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     combined before the shuffle and split by adaptive joins.  Each round is
     written to the shared folder; rounds grow with the logarithm of the longest path.
     """
+    since = mark()
     e = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = _mark(e)
-    while mark[0]:
+    state = _state(e)
+    while state[0]:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, F.col("a") == F.col("u")).filter("b > u and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
         small = large.join(low, F.col("a") == F.col("u")).filter("b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
-        new = stored(small, "edges")
-        mark, old = _mark(new), mark
-        drop(e)
-        e = new
-        if mark == old:
+        e = stored(small, "edges")
+        release(since, e)
+        old, state = state, _state(e)
+        if state == old:
             break
     # a fixed point holds stars only: every edge is (node, smallest node)
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select(F.col("b").alias("node"), F.col("b").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import stored
+from .tables import mark, release, stored
 
 COSINE = 0.95
 TILE = 2048
@@ -237,7 +237,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     good = F.coalesce((F.size(x) > 0) & ~F.exists(x, bad) & F.exists(x, lambda v: v != 0), F.lit(False)) & F.col("vec_id").isNotNull()
     rows = vectors.select("vec_id", F.when(good, F.transform(x, lambda v: v.cast("double"))).alias("embedding"))
     classes = stored(rows.filter("embedding is not null").groupBy("embedding").agg(F.min("vec_id").alias("cid"), F.count("*").alias("n")), "vectors")
+    since = mark()
     found = stored(find_links(classes, calibrate(classes.count(), cosine, recall)), "links")
+    release(since, found)
     comp = connected_components(found.filter("other is not null").select(F.col("cid").alias("a"), F.col("other").alias("b")))
     other = found.filter("other is null").groupBy(F.col("cid").alias("l_id")).agg(F.sum("n").alias("n_other"))
     named = classes.join(comp, F.col("cid") == F.col("node"), "left").join(other, F.col("cid") == F.col("l_id"), "left")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .kernels import LOWER, SPACE, chunks, mix, prefix_hash, span_hash, words
-from .tables import stored
+from .tables import mark, release, stored
 
 WORDS, PERCENT = 5, 85
 #: At the threshold 0.85 a pair meets in a table with probability 1 - 7e-5.
@@ -301,10 +301,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, half: int = HALF_KE
     shingle and are linked with nothing.  Rows that repeat a doc_id count as one
     document, whose component they share.
     """
+    since = mark()
     sig = stored(signatures(docs, half, width, k), "signatures")
     some = sig.filter("n_shingles > 0 and doc_id is not null")
     classes = stored(some.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("cid"), F.first("us").alias("us"), F.first("vs").alias("vs")), "classes")
     comp = connected_components(links(classes, docs, percent, k))
+    release(since, sig, classes, comp)
     named = classes.join(comp, F.col("cid") == F.col("node"), "left").select(F.col("n_shingles").alias("c_n"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.coalesce("component", "cid").alias("component"))
     rows = sig.select("doc_id", "n_shingles", "s1", "s2")
     out = rows.join(named, (F.col("n_shingles") == F.col("c_n")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & F.col("doc_id").isNotNull(), "left")

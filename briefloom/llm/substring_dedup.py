@@ -24,9 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .kernels import buffers, chunks, mix, powers, prefix_hash, span_hash
-from .tables import stored
+from .tables import mark, release, stored
 
 LENGTH, GRAM = 100, 20
 BLOCK = 512
@@ -333,18 +334,27 @@ def cut_regions(docs: DataFrame) -> DataFrame:
     return docs.select("key", "text", "spots").mapInArrow(cut, "bundle long, d long, s int, body binary")
 
 
-def find_repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Of documents (key, text) those with a repeat: (key, text, cover), cover a list of intervals (s, e)."""
+def per_document(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(p_key, cover, spots) of documents (key, text): repeats, and contexts to look at closer."""
     found = stored(resolve(anchors(texts, length, gram), length), "repeats")
-    per = found.groupBy(F.col("d").alias("p_key")).agg(F.collect_list(F.when(F.col("bundle").isNull(), F.struct("s", "e"))).alias("cover"), F.collect_list(F.when(F.col("bundle").isNotNull(), F.struct("bundle", "s", "e"))).alias("spots"))
-    some = stored(texts.join(per, F.col("key") == F.col("p_key")).drop("p_key"), "repeating")
-    closer = expand(cut_regions(some.filter(F.size("spots") > 0)), length).groupBy(F.col("d").alias("p_key")).agg(F.collect_list(F.struct("s", "e")).alias("more"))
-    out = some.join(closer, F.col("key") == F.col("p_key"), "left")
-    return out.select("key", "text", F.concat("cover", F.coalesce("more", F.array().cast("array<struct<s:int,e:int>>"))).alias("cover"))
+    repeat = F.when(F.col("bundle").isNull(), F.struct("s", "e"))
+    spot = F.when(F.col("bundle").isNotNull(), F.struct("bundle", "s", "e"))
+    return found.groupBy(F.col("d").alias("p_key")).agg(F.collect_list(repeat).alias("cover"), F.collect_list(spot).alias("spots"))
+
+
+def look_closer(rows: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``rows`` (key, text, cover, spots, ...) with all repeats in ``cover``; only the texts
+    of documents with spots are shuffled."""
+    open_ = F.coalesce(F.size("spots"), F.lit(0)) > 0
+    hard = rows.filter(open_)
+    closer = expand(cut_regions(hard), length).groupBy(F.col("d").alias("p_key")).agg(F.collect_list(F.struct("s", "e")).alias("more"))
+    joined = hard.join(closer, F.col("key") == F.col("p_key"), "left")
+    joined = joined.withColumn("cover", F.concat("cover", F.coalesce("more", F.array().cast("array<struct<s:int,e:int>>"))))
+    return rows.filter(~open_).drop("spots").unionByName(joined.drop("spots", "p_key", "more"))
 
 
-def strip(repeats: DataFrame) -> DataFrame:
-    """(r_key, n_removed, n_spans, kept_sha256, kept): the documents without their repeats."""
+def strip(covered: DataFrame, carry: str) -> DataFrame:
+    """(carry, n_removed, n_spans, kept_sha256, kept) of documents (text, cover, carry) without their repeats."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -366,9 +376,10 @@ def strip(repeats: DataFrame) -> DataFrame:
                 count.append(len(x))
                 digest.append(hashlib.sha256(rest).hexdigest())
                 kept.append(rest)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.binary())], ["r_key", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.binary())], [carry, "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return repeats.select("key", "text", "cover").mapInArrow(apply, "r_key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    schema = T.StructType([covered.schema[carry], T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
+    return covered.select(carry, "text", "cover").mapInArrow(apply, schema)
 
 
 def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -382,7 +393,11 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     keyed, unique = document_keys(docs.select("doc_id", "text"))
     texts = keyed.select("key", "text")
     texts = texts if unique else texts.dropDuplicates(["key"])
-    gone = strip(find_repeats(texts, length, gram)).select("r_key", "n_removed", "n_spans", "kept_sha256")
+    since = mark()
+    per = per_document(texts, length, gram)
+    some = stored(texts.join(per, F.col("key") == F.col("p_key")).drop("p_key"), "repeating")
+    release(since, some)
+    gone = strip(look_closer(some, length), "key").select(F.col("key").alias("r_key"), "n_removed", "n_spans", "kept_sha256")
     raw = F.coalesce("text", F.lit("")).cast("binary")
     rows = keyed.select("doc_id", "key", F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("all_sha256"))
     out = rows.join(gone, F.col("key") == F.col("r_key"), "left")
@@ -397,19 +412,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     rest = [c for c in docs.columns if c != "text"]
     keyed, unique = document_keys(docs.select("doc_id", "text", F.struct(*rest).alias("rest")))
     texts = keyed.select("key", "text")
-    texts = texts if unique else texts.dropDuplicates(["key"])
-    gone = strip(find_repeats(texts, length, gram)).filter("n_removed > 0").select("r_key", whole_characters(F.col("kept")).alias("r_text"))
-    out = keyed.join(gone, F.col("key") == F.col("r_key"), "left").filter("r_key is null or r_text <> ''")
-    changed = F.col("r_key").isNotNull()
-    out = out.withColumn("text", F.when(changed, F.col("r_text")).otherwise(F.col("text")))
-
-    def column(c: str):
+    since = mark()
+    per = per_document(texts if unique else texts.dropDuplicates(["key"]), length, gram)
+    rows = stored(keyed.select("key", "text", "rest").join(per, F.col("key") == F.col("p_key"), "left").drop("p_key"), "repeating")
+    release(since, rows)
+    rows = look_closer(rows, length)
+    has = F.coalesce(F.size("cover"), F.lit(0)) > 0
+    cut = strip(rows.filter(has), "rest").withColumn("text", whole_characters(F.col("kept"))).filter("text <> ''")
+
+    def column(c: str, changed: bool):
         if c == "text":
             return F.col("text")
-        old = F.col("rest").getField(c)
-        return F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(old).alias(c) if c == "n_chars" else old.alias(c)
+        old = F.col("rest").getField(c).alias(c)
+        return F.length("text").cast(docs.schema[c].dataType).alias(c) if changed and c == "n_chars" else old
 
-    return out.select(*map(column, docs.columns))
+    same = rows.filter(~has).select(*(column(c, False) for c in docs.columns))
+    return same.unionByName(cut.select(*(column(c, True) for c in docs.columns)))
 
 
 def whole_characters(raw):

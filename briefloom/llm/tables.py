@@ -35,19 +35,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if not _written:
-        atexit.register(_remove)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop(path_owner: DataFrame) -> None:
-    """Remove the files of a table made by ``stored`` that nothing reads any more."""
-    files = set(path_owner.inputFiles())
-    for spark, path in list(_written):
-        if any(path.rsplit("/", 1)[-1] in f for f in files):
-            _delete(spark, path)
-            _written.remove((spark, path))
+def mark() -> int:
+    """A point in time for ``release``."""
+    return len(_written)
+
+
+def release(since: int, *keep: DataFrame) -> None:
+    """Remove the tables stored after ``since``, but for those that ``keep`` reads."""
+    files = " ".join(f for df in keep for f in df.inputFiles())
+    for entry in _written[since:]:
+        if entry[1].rsplit("/", 1)[-1] not in files:
+            _delete(*entry)
+            _written.remove(entry)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -56,6 +59,7 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@atexit.register
 def _remove() -> None:
     for spark, path in _written:
         try:
