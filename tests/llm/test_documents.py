@@ -402,12 +402,12 @@ def test_attention_gradients():
 
 def test_attention_is_causal_and_learns():
     r = np.random.default_rng(4)
-    ids = np.tile(r.integers(0, 30, 7), 400)
+    ids = np.tile(r.integers(0, 30, 7), 4000)
     given_, target, scored, _ = attention_lm.windows(ids, np.array([len(ids)]))
     net = attention_lm.Network.fresh(np.full(attention_lm.CLASSES, 1 / attention_lm.CLASSES))
     rows = np.minimum(given_, attention_lm.INPUTS - 1)
-    losses = net.train(rows, target, scored, epochs=6, batch=8)
-    assert losses[-1] < 0.5 < losses[0]
+    losses = net.train(rows, target, scored, epochs=3, batch=8)
+    assert losses[-1] < losses[0] / 2
     a = net.log_probs(rows[:1], target[:1])
     changed = rows[:1].copy()
     changed[:, 20:] = 5
