@@ -14,31 +14,53 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
+    """The cluster's spark.checkpoint.dir; a temporary one only where none is set (tests)."""
     sc = spark.sparkContext
     known = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not known:  # tests; a cluster names its own
+    if not known:
         known = tempfile.mkdtemp(prefix="briefloom-")
         sc.setCheckpointDir(known)
     return known.rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back; removed when the driver ends."""
+    """Write ``df`` once to the shared folder and read it back.
+
+    This cuts the lineage: a lost executor costs the tasks that read the table,
+    not the work that made it.  The files go when the driver ends, or with
+    ``release`` as soon as nothing reads them.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not _written:
-        atexit.register(_remove)
+    df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """A point in time for ``release``."""
+    return len(_written)
+
+
+def release(since: int, *keep: DataFrame) -> None:
+    """Remove the tables stored after ``since``, but for those that ``keep`` reads."""
+    files = " ".join(f for df in keep for f in df.inputFiles())
+    for entry in _written[since:]:
+        if entry[1].rsplit("/", 1)[-1] not in files:
+            _delete(*entry)
+            _written.remove(entry)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
 def _remove() -> None:
-    for spark, path in _written:
+    for entry in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(*entry)
         except Exception:  # noqa: BLE001  the session may have ended before
             pass
 
