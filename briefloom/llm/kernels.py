@@ -120,8 +120,3 @@ def words(data: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np.nda
     return starts, ends, np.repeat(np.arange(docs), counts), counts
 
 
-def crc_buckets(doc_ids: list, modulus: int = 5) -> np.ndarray:
-    """crc32(doc_id as text) modulo ``modulus``; a null id counts as the empty text."""
-    import zlib
-
-    return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % modulus for i in doc_ids], np.int64)

@@ -1,73 +1,19 @@
-"""Input tables and intermediate tables in the folder that all executors share."""
+"""Input tables, the split of the documents, and intermediate tables."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: list[tuple[SparkSession, str]] = []
+from ..plans.lineage import mark, release, shared_dir, stored
+
+__all__ = ["held_out", "load", "mark", "release", "shared_dir", "stored"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary one only where none is set."""
-    sc = spark.sparkContext
-    known = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not known:
-        known = tempfile.mkdtemp(prefix="briefloom-")
-        sc.setCheckpointDir(known)
-    return known.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs the tasks that read the table,
-    not the work that made it.  The files go when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def mark() -> int:
-    """A point in time for ``release``."""
-    return len(_written)
-
-
-def release(since: int, *keep: DataFrame) -> None:
-    """Remove the tables stored after ``since``, but for those that ``keep`` reads."""
-    files = " ".join(f for df in keep for f in df.inputFiles())
-    for entry in _written[since:]:
-        if entry[1].rsplit("/", 1)[-1] not in files:
-            _delete(*entry)
-            _written.remove(entry)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-@atexit.register
-def _remove() -> None:
-    for spark, path in _written:
-        try:
-            _delete(spark, path)
-        except Exception:  # noqa: BLE001  the session may have ended before
-            pass
-
-
-def held_out(doc_id, remainder: int = 0, modulus: int = 5):
+def held_out(doc_id: Column, remainder: int = 0, modulus: int = 5) -> Column:
     """crc32 of the id as text modulo 5 equals ``remainder``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
