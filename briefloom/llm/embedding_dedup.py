@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import connected_components
 from .tables import mark, release, stored
@@ -80,9 +81,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def spread(classes: DataFrame, plan: Plan) -> DataFrame:
-    """(cell, query, cid, n, dim, table, vec) rows: each class as query in its own cell
-    of every table, and as stored vector in each cell that its windows reach."""
+def spread(classes: DataFrame, plan: Plan, kind: type = np.float64) -> DataFrame:
+    """(cell, query, cid, n, tab, vec) rows: each class as query in its own cell of
+    every table, and as stored vector in each cell that its windows reach.  ``vec``
+    is the vector as given, in numbers of ``kind``, which must hold it exactly."""
     g, cell = plan.leads, 4 * plan.steps
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,8 +95,8 @@ def spread(classes: DataFrame, plan: Plan) -> DataFrame:
                 lengths = np.diff(lists.offsets.to_numpy())
                 for dim in np.unique(lengths):
                     rows = np.flatnonzero(lengths == dim)
-                    x = _unit(np.array([lists[int(i)].as_py() for i in rows], np.float64))
-                    proj = project(plan, x).T.astype(np.int64)
+                    given = np.array([lists[int(i)].as_py() for i in rows], np.float64)
+                    proj = project(plan, _unit(given)).T.astype(np.int64)
                     at, cells, table, query = [], [], [], []
                     for t in range(plan.tables):
                         p = proj[:, t * g : (t + 1) * g]
@@ -114,7 +116,7 @@ def spread(classes: DataFrame, plan: Plan) -> DataFrame:
                             query.append(np.full(len(c), q))
                     at = np.concatenate(at)
                     take = pa.array(rows[at])
-                    raw = [r.tobytes() for r in x]
+                    raw = [r.tobytes() for r in given.astype(kind)]
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(np.concatenate(query)), part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(table)), pa.array([raw[i] for i in at], pa.binary())], ["cell", "query", "cid", "n", "tab", "vec"])
 
     return classes.select("cid", "n", "embedding").mapInArrow(put, "cell long, query boolean, cid long, n long, tab int, vec binary")
@@ -192,13 +194,13 @@ def _tile(plan: Plan, q: np.ndarray, d: np.ndarray, t: int, q_id: np.ndarray, d_
     return weight, e[:, 0], e[:, 1]
 
 
-def find_links(classes: DataFrame, plan: Plan) -> DataFrame:
+def find_links(classes: DataFrame, plan: Plan, kind: type = np.float64) -> DataFrame:
     """(cid, other, n): per tile, the linked vectors of a query (other null), and edges.
 
     Cells are cut into tiles of about 2048 queries by 2048 vectors, so that a cell
     with a third of all vectors is worked on by many tasks.
     """
-    rows = stored(spread(classes, plan), "cells")
+    rows = stored(spread(classes, plan, kind), "cells")
     many = rows.groupBy("cell").agg(F.ceil(F.sum(F.col("query").cast("int")) / TILE).alias("kq"), F.ceil(F.sum((~F.col("query")).cast("int")) / TILE).alias("kd"), F.count("*").alias("m"))
     many = many.filter("kq > 0 and m > 1").withColumnRenamed("cell", "m_cell")
     rows = rows.join(many, F.col("cell") == F.col("m_cell"))
@@ -213,7 +215,7 @@ def find_links(classes: DataFrame, plan: Plan) -> DataFrame:
             w, a, b, keep = np.zeros(0, np.int64), cid[:0], cid[:0], np.zeros(0, bool)
             q_id = cid[:0]
         else:
-            vec = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.float64).reshape(len(cid), -1)
+            vec = _unit(np.frombuffer(b"".join(table.column("vec").to_pylist()), kind).reshape(len(cid), -1).astype(np.float64))
             q_id = cid[query]
             w, a, b = _tile(plan, vec[query], vec[~query], table.column("tab")[0].as_py(), q_id, cid[~query], n[~query])
             keep = w > 0
@@ -238,7 +240,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     rows = vectors.select("vec_id", F.when(good, F.transform(x, lambda v: v.cast("double"))).alias("embedding"))
     classes = stored(rows.filter("embedding is not null").groupBy("embedding").agg(F.min("vec_id").alias("cid"), F.count("*").alias("n")), "vectors")
     since = mark()
-    found = stored(find_links(classes, calibrate(classes.count(), cosine, recall)), "links")
+    kind = np.float32 if vectors.schema["embedding"].dataType.elementType == T.FloatType() else np.float64
+    found = stored(find_links(classes, calibrate(classes.count(), cosine, recall), kind), "links")
     release(since, found)
     comp = connected_components(found.filter("other is not null").select(F.col("cid").alias("a"), F.col("other").alias("b")))
     other = found.filter("other is null").groupBy(F.col("cid").alias("l_id")).agg(F.sum("n").alias("n_other"))
