@@ -9,7 +9,6 @@ verified on the full shingle sets.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +23,8 @@ from .tables import mark, release, stored
 WORDS, PERCENT = 5, 85
 #: At the threshold 0.85 a pair meets in a table with probability 1 - 7e-5.
 HALF_KEYS, WIDTH = 8, 2
-#: Bytes of a class's sketch, and members of a bucket that a task compares with as many.
-SKETCH, TILE = 128, 512
+#: Members of a group that a task compares with as many others.
+TILE = 256
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 SPACE_FREE = ~SPACE
 
@@ -127,87 +126,63 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def sketches(texts: DataFrame, k: int = WORDS) -> DataFrame:
-    """(cid, text, sketch): a byte each of SKETCH minhashes of the whole text's set."""
-    mult, add = (x[:SKETCH] for x in _seeds(SKETCH + 1))
+def across(members: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
+    """(a, b): links that join the components of members (hub, cid, comp, text) of one hub.
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for lo, hi, data, off in chunks(b.column(1)):
-                sets, n = shingle_sets(data, off, k)
-                mins = np.zeros((hi - lo, SKETCH), np.uint8)
-                head = (np.cumsum(n) - n)[n > 0]
-                for i in range(SKETCH if len(head) else 0):
-                    v = sets * mult[i]
-                    v += add[i]
-                    v ^= v >> np.uint64(31)
-                    mins[n > 0, i] = mix(np.minimum.reduceat(v, head)) & np.uint64(255)
-                out += [r.tobytes() for r in mins]
-            yield b.append_column("sketch", pa.array(out, pa.binary()))
-
-    return texts.mapInArrow(sketch, "cid long, text string, sketch binary")
-
-
-def least_matches(percent: int, miss: float = 1e-6) -> int:
-    """Equal sketch bytes that a pair at the threshold has but with probability ``miss``."""
-    p = percent / 100 + (1 - percent / 100) / 256
-    tail, m = 0.0, -1
-    while tail < miss:
-        m += 1
-        tail += math.comb(SKETCH, m) * p**m * (1 - p) ** (SKETCH - m)
-    return m
-
-
-def across(members: DataFrame, percent: int) -> DataFrame:
-    """(x, y): members (key, cid, n_shingles, comp, sketch) of one bucket and different
-    components whose sizes and sketches allow the similarity.
-
-    Buckets are cut into tiles of ``TILE`` members; a task compares the sketches of
-    two tiles as matrices and emits only the pairs that pass.
+    The members of a hub are cut into tiles of ``TILE``; a task numbers the
+    shingles of two tiles and counts the intersections of a member with all
+    others at once.  Sets are whole, so what it emits is verified; once two
+    components are joined in a tile, their pairs are not looked at again.
     """
-    count = members.groupBy(F.col("key").alias("c_key")).agg(F.ceil(F.count("*") / TILE).alias("tiles"))
-    rows = members.join(count, F.col("key") == F.col("c_key"))
+    count = members.groupBy(F.col("hub").alias("c_hub")).agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+    rows = members.join(count, F.col("hub") == F.col("c_hub"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("tiles"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("right"), "cid", "n_shingles", "comp", "sketch")
-    least = least_matches(percent)
+    rows = rows.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("right"), "cid", "comp", "text")
 
-    def compare(right, cid, n, comp, sketch) -> tuple[np.ndarray, np.ndarray]:
+    def compare(right: np.ndarray, cid: np.ndarray, comp: np.ndarray, text: pa.Array) -> list[tuple[int, int]]:
+        comp = np.unique(comp, return_inverse=True)[1]
         left = np.flatnonzero(~right)
         other = np.flatnonzero(right) if right.any() else left
-        none = np.zeros(0, np.int64)
-        if not len(left) or (comp == comp[0]).all():
-            return none, none
-        ok = comp[left, None] != comp[None, other]
-        small, large = np.minimum(n[left, None], n[None, other]), np.maximum(n[left, None], n[None, other])
-        ok &= small * 100 >= large * percent
-        if other is left:
-            ok &= cid[left, None] > cid[None, other]
-        if not ok.any():
-            return none, none
-        if ok.size <= 4096:
-            same = (sketch[left, None, :] == sketch[None, other, :]).sum(axis=2)
-        else:
-            same = np.zeros(ok.shape, np.int16)
-            for b in range(SKETCH):
-                same += sketch[left, b, None] == sketch[None, other, b]
-        i, j = np.nonzero(ok & (same >= least))
-        a, b = cid[left[i]], cid[other[j]]
-        return np.maximum(a, b), np.minimum(a, b)
+        if not len(left) or comp.max() == 0:
+            return []
+        sets, sizes = [], []
+        for _, _, data, off in chunks(text):
+            s, n = shingle_sets(data, off, k)
+            sets.append(s)
+            sizes.append(n)
+        n = np.concatenate(sizes)
+        ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        head = np.cumsum(n) - n
+        spans = [ids[h : h + m] for h, m in zip(head.tolist(), n.tolist(), strict=True)]
+        flag = np.zeros(int(ids.max()) + 1, bool)
+        found = []
+        for x in left:
+            y = other[(comp[other] != comp[x]) & (np.minimum(n[other], n[x]) * 100 >= np.maximum(n[other], n[x]) * percent)]
+            if other is left:
+                y = y[y > x]
+            if not len(y):
+                continue
+            flag[spans[x]] = True
+            inter = np.add.reduceat(flag[np.concatenate([spans[i] for i in y])], np.cumsum(n[y]) - n[y], dtype=np.int64)
+            flag[spans[x]] = False
+            for i in y[inter * 100 >= (n[y] + n[x] - inter) * percent]:
+                if comp[i] != comp[x]:
+                    found.append((int(max(cid[x], cid[i])), int(min(cid[x], cid[i]))))
+                    comp[comp == comp[i]] = comp[x]
+        return found
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def groups(table: pa.Table, final: bool):
-            g = [table.column(c).to_numpy() for c in ("key", "i", "j")]
+            g = [table.column(c).to_numpy() for c in ("hub", "i", "j")]
             new = np.r_[True, (g[0][1:] != g[0][:-1]) | (g[1][1:] != g[1][:-1]) | (g[2][1:] != g[2][:-1])]
             head = np.append(np.flatnonzero(new), len(new))
             last = len(head) - 1 if final else len(head) - 2
-            cols = [table.column(c).to_numpy() for c in ("right", "cid", "n_shingles", "comp")]
-            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-            got = [compare(*(c[lo:hi] for c in cols), sketch[lo:hi]) for lo, hi in zip(head[:last], head[1 : last + 1], strict=True) if hi - lo > 1]
-            x, y = (np.concatenate(v) for v in zip(*got, strict=True)) if got else (np.zeros(0, np.int64),) * 2
-            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"]), table.slice(int(head[last]))
+            cols = [table.column(c).to_numpy() for c in ("right", "cid", "comp")]
+            text = table.column("text")
+            got = [p for lo, hi in zip(head[:last].tolist(), head[1 : last + 1].tolist(), strict=True) if hi - lo > 1 for p in compare(*(c[lo:hi] for c in cols), text.slice(lo, hi - lo))]
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in got], pa.int64()), pa.array([p[1] for p in got], pa.int64())], ["a", "b"]), table.slice(int(head[last]))
 
         for b in batches:
             if b.num_rows:
@@ -218,7 +193,7 @@ def across(members: DataFrame, percent: int) -> DataFrame:
             yield groups(pa.Table.from_batches(held), True)[0]
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(stream, "x long, y long").distinct()
+    return rows.repartition(n, "hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(stream, "a long, b long").distinct()
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int = WORDS) -> DataFrame:
@@ -247,11 +222,11 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int = WORDS) -> DataFrame:
 def links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
     """Verified edges (a, b) that connect every linked candidate pair of classes.
 
-    A table's bucket is not expanded into pairs.  Its members are compared with
-    one hub (the least member) and, where the bucket still spans components, with
-    the member nearest to that hub, so a bucket of n near copies costs about 2 n
-    comparisons.  Members that are still in different components are compared by
-    sketches, tile by tile, and the pairs that pass are verified, so no link
+    A table's bucket is not expanded into pairs.  The buckets that have the same
+    least member form a group with it as hub; the members of a group are compared
+    with the hub and, where the group still spans components, with the member
+    nearest to the hub, so n near copies cost about 2 n comparisons.  Members that
+    are still in different components are compared tile by tile, so no link
     between candidates is lost.  All joins with texts are sort-merge joins at any
     size: neither side has a bound.
     """
@@ -260,36 +235,31 @@ def links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int =
     per = raw.groupBy("key").agg(F.min("cid").alias("hub"), F.max("cid").alias("top"), F.count("*").alias("n"), F.sum(F.xxhash64("cid") % 1_000_000_007).alias("s")).filter("hub < top")
     # tables often repeat one set of members: one of them is enough
     per = per.groupBy("hub", "top", "n", "s").agg(F.min("key").alias("k")).select("k", "hub")
-    members = stored(raw.join(per, F.col("key") == F.col("k")).select("key", "hub", "cid").join(sizes, "cid"), "buckets")
+    members = stored(raw.join(per, F.col("key") == F.col("k")).select("hub", "cid").distinct().join(sizes, "cid"), "groups")
     ids = members.select("cid").distinct().hint("merge")
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("cid")).select("cid", "text")
-    texts = stored(sketches(texts, k), "texts")
+    texts = stored(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("cid")).select("cid", "text"), "texts")
     linked = lambda d: d.filter(F.col("inter") * 100 >= F.col("uni") * percent).select(F.col("x").alias("a"), F.col("y").alias("b"))
     on = sizes.select(F.col("cid").alias("y"), F.col("n_shingles").alias("ny"))
-    pairs = members.filter("cid <> hub").select(F.col("cid").alias("x"), F.col("hub").alias("y"), F.col("n_shingles").alias("nx")).distinct().join(on, "y").filter(_fits(F.col("nx"), F.col("ny"), percent))
+    pairs = members.filter("cid <> hub").select(F.col("cid").alias("x"), F.col("hub").alias("y"), F.col("n_shingles").alias("nx")).join(on, "y").filter(_fits(F.col("nx"), F.col("ny"), percent))
     done = stored(verify(pairs.select("x", "y"), texts, k), "verified")
     edges = linked(done)
     near = done.select(F.col("x").alias("cid"), F.col("y").alias("hub"), (F.col("inter") / F.col("uni")).alias("near"))
     open_ = still_open(members.join(near, ["cid", "hub"], "left"), edges)
     best = F.max_by(F.struct("cid", "comp", "n_shingles"), F.when(F.col("cid") != F.col("hub"), F.struct(F.coalesce("near", F.lit(0.0)), -F.col("cid"))))
-    nearest = open_.groupBy(F.col("key").alias("n_key")).agg(best.alias("p"))
-    cand = open_.join(nearest, F.col("key") == F.col("n_key")).filter("p.cid <> cid and p.comp <> comp").filter(_fits(F.col("n_shingles"), F.col("p.n_shingles"), percent))
+    nearest = open_.groupBy(F.col("hub").alias("n_hub")).agg(best.alias("p"))
+    cand = open_.join(nearest, F.col("hub") == F.col("n_hub")).filter("p.cid <> cid and p.comp <> comp").filter(_fits(F.col("n_shingles"), F.col("p.n_shingles"), percent))
     cand = cand.select(F.greatest("cid", "p.cid").alias("x"), F.least("cid", "p.cid").alias("y")).distinct()
-    seen = done.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    second = stored(verify(cand.join(seen, ["x", "y"], "left_anti"), texts, k), "verified")
-    edges = edges.union(linked(second))
-    seen = seen.union(second.select("x", "y"))
-    open_ = still_open(open_.drop("comp"), edges).join(texts.select("cid", "sketch").hint("merge"), "cid")
-    rest = stored(across(open_, percent).join(seen, ["x", "y"], "left_anti"), "candidates")
-    return edges.union(linked(stored(verify(rest, texts, k), "verified")))
+    edges = edges.union(linked(stored(verify(cand, texts, k), "verified")))
+    open_ = still_open(open_.drop("comp"), edges).select("hub", "cid", "comp").join(texts.hint("merge"), "cid")
+    return edges.union(stored(across(open_, percent, k), "verified"))
 
 
 def still_open(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """``members`` (key, cid, ...) of the buckets that span several components, with ``comp``."""
+    """``members`` (hub, cid, ...) of the groups that span several components, with ``comp``."""
     comp = stored(connected_components(edges), "components")
     named = members.join(comp, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "cid")).drop("node", "component")
-    wide = named.groupBy(F.col("key").alias("w_key")).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("w_key")
-    return stored(named.join(wide, F.col("key") == F.col("w_key")).drop("w_key"), "open")
+    wide = named.groupBy(F.col("hub").alias("w_hub")).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("w_hub")
+    return stored(named.join(wide, F.col("hub") == F.col("w_hub")).drop("w_hub"), "open")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, half: int = HALF_KEYS, width: int = WIDTH, k: int = WORDS) -> DataFrame:
