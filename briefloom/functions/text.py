@@ -74,19 +74,20 @@ def transaction_types(headline: Column, dims: Dims = DEFAULT) -> Column:
     return F.filter(F.array(*map(F.lit, dims.keywords)), lambda k: F.contains(low, F.lower(k)))
 
 
+#: Signs of a career move; a blank stands for white space, an underscore for any of it or none.
 _MOVES = (
-    r"(?:re-?)?joins?(?!\s+hands)",
-    r"(?:quit|resign)s?",
-    r"steps?\s+down",
-    r"(?:promoted|elevated)\s+(?:as|to)",
-    r"appointed\s+as",
-    r"named\s+partner",
-    r"hires?\s+.+\s+as\s+partner",
-    r"moves?\s+to\s+.+\s+as\s(?=\w)",
-    r"sets?\s+up\s+(?:own|their|her|his)?\s*(?:own\s+)?chambers",
-    r"(?:starts?|launches)\s+(?:their|her|his)?\s*own\s+(?:chambers|firm|practice)",
+    "(?:re-?)?joins?(?! hands)",
+    "(?:quit|resign)s?",
+    "steps? down",
+    "(?:promoted|elevated) (?:as|to)",
+    "appointed as",
+    "named partner",
+    "hires? .+ as partner",
+    r"moves? to .+ as\s(?=\w)",
+    "sets? up (?:own|their|her|his)?_(?:own )?chambers",
+    "(?:starts?|launches) (?:their|her|his)?_own (?:chambers|firm|practice)",
 )
-MOVE = r"(?iU)\b(?:" + "|".join(_MOVES) + r")(?:\b|(?<=\s))"
+MOVE = r"(?iU)\b(?:" + "|".join(_MOVES).replace(" ", r"\s+").replace("_", r"\s*") + r")(?:\b|(?<=\s))"
 
 
 def is_move(headline: Column) -> Column:

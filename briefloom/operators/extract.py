@@ -14,7 +14,7 @@ from ..functions.text import is_move_article, looks_like_name, normalize_name, s
 from .ner import supplement
 
 _VERB = r"(?iU)^(.+?)\s+(?:acts? on|(?:advise|assist|represent)s?)\s+(.+)$"
-_NAME, _FIRM = r"([A-Za-z][\w .’'-]+?)", r"[A-Za-z][\w &.,’'-]+"
+_NAME, _FIRM = r"([A-Za-z][-'’.\w ]+?)", r"[A-Za-z][-'’.,&\w ]+"
 _CREDIT = "struct<name:string,role:string>"
 
 
@@ -41,11 +41,12 @@ def parse_move(headline: Column, dims: Dims = DEFAULT) -> Column:
     lawyer who quits, the firm is the one left (relation ``left``).
     """
     h = F.trim(F.regexp_replace(headline, r"(?U)^\s+|\s+$", ""))
+    gap = lambda shape: "(?iU)^" + shape.replace("~", r"\s+")
     shapes = (
-        (rf"(?iU)^{_NAME}\s+(?:re-?)?joins?\s+({_FIRM}?)\s+as\s+([A-Za-z ]+?)(?:\s+in\s+[A-Za-z ]+)?$", 1, 3, 2, "joined"),
-        (rf"(?iU)^{_NAME}\s+(?:quits|resigns(?: from)?)\s+({_FIRM})$", 1, None, 2, "left"),
-        (rf"(?iU)^{_NAME}\s+(?:promoted|elevated)\s+(?:as|to)\s+([A-Za-z ]+?)\s+at\s+({_FIRM})$", 1, 2, 3, "at"),
-        (rf"(?iU)^(?:Former\s+{_FIRM}?\s+lawyer\s+)?{_NAME}\s+sets?\s+up\s+(?:own|their|her|his)?\s*(?:own\s+)?chambers", 1, None, None, "founded"),
+        (gap(rf"{_NAME}~(?:re-?)?joins?~({_FIRM}?)~as~([A-Za-z ]+?)(?:~in~[A-Za-z ]+)?$"), 1, 3, 2, "joined"),
+        (gap(rf"{_NAME}~(?:quits|resigns(?:~from)?)~({_FIRM})$"), 1, None, 2, "left"),
+        (gap(rf"{_NAME}~(?:promoted|elevated)~(?:as|to)~([A-Za-z ]+?)~at~({_FIRM})$"), 1, 2, 3, "at"),
+        (gap(rf"(?:Former~{_FIRM}?~lawyer~)?{_NAME}~sets?~up~(?:own|their|her|his)?\s*(?:own~)?chambers"), 1, None, None, "founded"),
     )
     found = []
     for shape, name_at, role_at, firm_at, relation in shapes:
@@ -68,9 +69,9 @@ def strip_nicknames(paragraph: Column, dims: Dims = DEFAULT) -> Column:
 
 def paren_credits(paragraph: Column, dims: Dims = DEFAULT) -> Column:
     """array of struct(name, role) for every ``Name (Role[, more])``."""
-    word = r"[A-Z][A-Za-z’'-]*"
+    word = r"[A-Z][-'’a-zA-Z]*"
     inner = "|".join([word, *dims.particles])
-    shape = rf"(?U)({word}(?:\s+(?:{inner})){{1,4}})\s*\(({'|'.join(dims.roles)})(?:[,;][^)]*)?\)"
+    shape = rf"(?U)({word}(?:\s+(?:{inner})){{1,4}})\s*\(({'|'.join(dims.roles)})(?:[;,][^)]*)?[)]"
     names, roles = (F.regexp_extract_all(paragraph, F.lit(shape), F.lit(i)) for i in (1, 2))
     return F.coalesce(F.zip_with(names, roles, lambda n, r: F.struct(F.trim(n).alias("name"), r.alias("role"))), F.array().cast(f"array<{_CREDIT}>"))
 
@@ -94,7 +95,7 @@ def plural_credits(paragraph: Column, dims: Dims = DEFAULT) -> Column:
     return F.coalesce(F.flatten(each), F.array().cast(f"array<{_CREDIT}>"))
 
 
-_CONTEXT = r"(?U)^([A-Z][\w &.,’'-]*?)\s+(?:is (?:advising|representing)|advise[ds]|represent(?:ed|s)|act(?:ed|s) (?:as|for))\b"
+_CONTEXT = r"(?U)^([A-Z][-'’.,&\w ]*?)\s+(?:is (?:advising|representing)|advise[ds]|represent(?:ed|s)|act(?:ed|s) (?:as|for))\b"
 
 
 def firm_context(paragraph: Column, firms: Column, dims: Dims = DEFAULT) -> Column:

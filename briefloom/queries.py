@@ -115,7 +115,7 @@ def canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CANON = rf"""
-with a as (select p_partkey, regexp_replace(trim(regexp_replace({_NOISE}, '\s+', ' ', 'g')), '\s*\(formerly[^)]*\)', '', 'gi') as s from part),
+with a as (select p_partkey, regexp_replace(trim(regexp_replace({_NOISE}, '\s+', ' ', 'g')), '\s*[(]formerly[^)]*[)]', '', 'gi') as s from part),
 b as (select p_partkey, trim(rtrim(trim(regexp_replace(regexp_replace(s, ', Mumbai$', ''), '\s+(LLP|LLC)\.?$', '', 'i')), '.,')) as s from a)
 select p_partkey, case when s in ('', 'in-house') or regexp_matches(lower(s), '^(his|her)\s+chambers\b') then null
   when lower(s) = 'acl' then 'Acme Legal' when s = upper(s) then array_to_string(list_transform(string_split(s, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') else s end as firm from b
@@ -174,9 +174,10 @@ def move_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(T.is_move(F.col("headline")).alias("move"), T.is_move_record(F.col("headline"), F.col("client")).alias("move_record")).agg(F.count("*").alias("n"))
 
 
+_MOVE_SHAPE = r"(?i)\b(" + "|".join(T._MOVES).replace("(?! hands)", "").replace(r"\s(?=\w)", " ").replace(" ", r"\s+").replace("_", r"\s*") + r")\b"
 _MOVE = rf"""
 with a as (select replace({_sql_pick(_HEADLINES, 'c_custkey % 10')}, '%', c_name) as h, case c_custkey % 7 when 0 then 'Widget' when 1 then '' end as client from customer),
-b as (select regexp_matches(regexp_replace(h, 'joins? hands', '', 'gi'), '(?i)\b(re-?joins?|joins?|quits?|resigns?|steps?\s+down|(elevated|promoted)\s+(to|as)|appointed\s+as|(launches|starts?)\s+(his|her|their)?\s*own\s+(practice|firm|chambers)|moves?\s+to\s+.+\s+as\s|named\s+partner|hires?\s+.+\s+as\s+partner)\b') as move, client from a)
+b as (select regexp_matches(regexp_replace(h, 'joins? hands', '', 'gi'), '{_MOVE_SHAPE}') as move, client from a)
 select move, move and nullif(client, '') is null as move_record, count(*) as n from b group by 1, 2
 """
 

@@ -19,7 +19,7 @@ def scan(rows):
     """The ordered scan, by brute force."""
     seen, kept = set(), []
     for o, url, head, snip in sorted(rows):
-        keys = {("u", url.lower()), ("s", url.rsplit("/", 1)[-1].lower()), ("h", head.lower())} | ({("f", snip.lower())} if snip else set())
+        keys = {("u", url.lower()), ("s", url.split("/")[-1].lower()), ("h", head.lower())} | ({("f", snip.lower())} if snip else set())
         if not keys & seen:
             seen |= keys
             kept.append(o)

@@ -78,7 +78,7 @@ def test_document_and_page(spark, tmp_path):
     out, page = tmp_path / "d.json", tmp_path / "p.html"
     sinks.write_document(directory.document(s, none), str(out))
     data = json.loads(out.read_text(encoding="utf-8"))
-    assert [p["firm_verification"] for p in data["people"]] == [{"verdict": "UNVERIFIED", "evidence": "Not yet researched."}] * 2
+    assert [p["firm_verification"] for p in data["people"]] == [dict(zip(("verdict", "evidence"), directory.UNRESEARCHED, strict=True))] * 2
     (tmp_path / "t.html").write_text("<script>__DATA__</script>", encoding="utf-8")
     assert sinks.render_page(str(tmp_path / "t.html"), str(out), str(page)) == len(page.read_bytes())
     assert page.read_text(encoding="utf-8").count("</script") == 1
