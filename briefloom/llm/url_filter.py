@@ -34,16 +34,16 @@ def filter_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", prefi
     as long as the longest rule at most), so any prefix can be a rule.
     """
     rules = rules.select(F.lower("host").alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict"))
-    lengths = rules.agg(F.sort_array(F.collect_set(F.length("r_path"))).alias("r_lengths"))
+    # one number per distinct length: no more than the longest path has characters
+    lengths = sorted(r[0] for r in rules.select(F.length("r_path")).distinct().collect())
     rules = rules.withColumn("r_full", F.sha2(F.concat("r_host", F.lit("\x00"), "r_path").cast("binary"), 256))
     rules = rules.withColumn("r_short", F.substring("r_full", 1, 2 * prefix_bytes))
     parts = urls.select(F.col("url"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).distinct()
     labels = F.split("host", r"\.")
     expanded = (
         parts.filter(F.col("host") != "")
-        .crossJoin(F.broadcast(lengths))  # one row
         .withColumn("suffix", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))))
-        .withColumn("r_length", F.explode(F.filter("r_lengths", lambda n: n <= F.length("path"))))
+        .withColumn("r_length", F.explode(F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path"))))
         .withColumn("full", F.sha2(F.concat("suffix", F.lit("\x00"), F.expr("substring(path, 1, r_length)")).cast("binary"), 256))
         .withColumn("short", F.substring("full", 1, 2 * prefix_bytes))
     )
