@@ -125,7 +125,7 @@ from v join c on a = vec_id left join k on x = vec_id
 _REPEATS = r"""
 with d as (select doc_id, encode(coalesce(text, '')) as b from documents),
 w as (select doc_id, b, octet_length(b) as n, unnest(range(1, octet_length(b) - 98)) as s from d where octet_length(b) >= 100),
-h as (select doc_id, s, row_number() over (partition by md5(hex(b[s:s + 99])) order by doc_id, s) as k from w),
+h as (select doc_id, s, row_number() over (partition by b[s:s + 99] order by doc_id, s) as k from w),
 late as (select doc_id, s, s - row_number() over (partition by doc_id order by s) as one_run from h where k > 1),
 runs as (select doc_id, min(s) as s, max(s) + 100 as e from late group by doc_id, one_run),
 j as (select *, case when s <= max(e) over (partition by doc_id order by s rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh from runs),
