@@ -120,6 +120,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LA
     crc32(doc_id) mod 5 is not 0; those with the smallest hash are taken.  Only
     their presence bits (2.6 KB a row) come to the driver.
     """
+    docs = docs.select("doc_id", "text", "lang")
     rows = docs.filter("text is not null and lang is not null").filter(~held_out(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("h"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id"))
     chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= per_language).select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang")).distinct()

@@ -45,7 +45,7 @@ def rows():
 @pytest.fixture(scope="module")
 def docs(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
-    clash = ("key", "size", "score", "cid", "row", "rest", "taken", "component_id", "q_time", "k_id", "target", "r_key", "text_", "start", "u")
+    clash = ("key", "size", "score", "cid", "row", "rest", "taken", "component_id", "q_time", "k_id", "target", "r_key", "text_", "start", "u", "c_id", "c_lang", "h", "rank", "rid", "hub", "c")
     return df.withColumns({c: F.lit(c) for c in clash})
 
 
