@@ -33,6 +33,8 @@ LENGTH, GRAM = 100, 20
 BLOCK = 512
 #: Bytes of bundles that are transformed together; a larger bundle is classed by window hashes.
 TOGETHER, OVERSIZE = 1 << 20, 4 << 20
+#: Bytes of contexts from which a bundle's windows become rows instead.
+HOT = 64 << 20
 
 
 def document_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
@@ -334,25 +336,58 @@ def cut_regions(docs: DataFrame) -> DataFrame:
     return docs.select("key", "text", "spots").mapInArrow(cut, "bundle long, d long, s int, body binary")
 
 
-def per_document(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(p_key, cover, spots) of documents (key, text): repeats, and contexts to look at closer."""
+def per_document(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame | None]:
+    """(p_key, cover, spots) of documents (key, text): repeats, and contexts to look at
+    closer; and the bundles (h_bundle) of more than ``HOT`` bytes, None if there are none."""
     found = stored(resolve(anchors(texts, length, gram), length), "repeats")
     repeat = F.when(F.col("bundle").isNull(), F.struct("s", "e"))
     spot = F.when(F.col("bundle").isNotNull(), F.struct("bundle", "s", "e"))
-    return found.groupBy(F.col("d").alias("p_key")).agg(F.collect_list(repeat).alias("cover"), F.collect_list(spot).alias("spots"))
+    per = found.groupBy(F.col("d").alias("p_key")).agg(F.collect_list(repeat).alias("cover"), F.collect_list(spot).alias("spots"))
+    size = F.sum((F.col("e") - F.col("s")).cast("long"))
+    hot = stored(found.filter("bundle is not null").groupBy(F.col("bundle").alias("h_bundle")).agg(size.alias("size")).filter(F.col("size") > HOT).select("h_bundle"), "hot")
+    return per, None if hot.isEmpty() else hot
 
 
-def look_closer(rows: DataFrame, length: int = LENGTH) -> DataFrame:
+def look_closer(rows: DataFrame, hot: DataFrame | None = None, length: int = LENGTH) -> DataFrame:
     """``rows`` (key, text, cover, spots, ...) with all repeats in ``cover``; only the texts
     of documents with spots are shuffled."""
     open_ = F.coalesce(F.size("spots"), F.lit(0)) > 0
     hard = rows.filter(open_)
-    closer = expand(cut_regions(hard), length).groupBy(F.col("d").alias("p_key")).agg(F.collect_list(F.struct("s", "e")).alias("more"))
+    regions = cut_regions(hard)
+    if hot is None:
+        more = expand(regions, length)
+    else:
+        regions = stored(regions, "regions")
+        own = F.col("bundle") == F.col("h_bundle")
+        more = expand(regions.join(hot, own, "left_anti"), length).unionByName(by_windows(regions.join(hot, own, "left_semi"), length))
+    closer = more.groupBy(F.col("d").alias("p_key")).agg(F.collect_list(F.struct("s", "e")).alias("more"))
     joined = hard.join(closer, F.col("key") == F.col("p_key"), "left")
     joined = joined.withColumn("cover", F.concat("cover", F.coalesce("more", F.array().cast("array<struct<s:int,e:int>>"))))
     return rows.filter(~open_).drop("spots").unionByName(joined.drop("spots", "p_key", "more"))
 
 
+def by_windows(regions: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(d, s, e): repeats within bundles that no one task should hold: an edge that a large
+    part of all documents share.  Windows are rows; the earliest of each hash is an
+    aggregate that is combined before the shuffle, and is joined back."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi, data, off in chunks(b.column(3)):
+                prefix = prefix_hash(data)
+                n = np.maximum(0, np.diff(off) - length + 1)
+                row = np.repeat(np.arange(hi - lo), n)
+                inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                at = off[row] + inner
+                h = mix((prefix[at + length] - prefix[at]) * powers(len(prefix))[1][at])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(1).slice(lo, hi - lo).take(pa.array(row)), pa.array((b.column(2).to_numpy()[lo:hi][row] + inner).astype(np.int32))], ["h", "d", "s"])
+
+    rows = regions.mapInArrow(windows, "h long, d long, s int")
+    first = rows.groupBy(F.col("h").alias("f_h")).agg(F.min(F.struct("d", "s")).alias("first"))
+    late = rows.join(first, F.col("h") == F.col("f_h")).filter(F.struct("d", "s") > F.col("first"))
+    return late.select("d", "s", (F.col("s") + length).alias("e")).distinct()
+
+
 def strip(covered: DataFrame, carry: str) -> DataFrame:
     """(carry, n_removed, n_spans, kept_sha256, kept) of documents (text, cover, carry) without their repeats."""
 
@@ -394,10 +429,10 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     texts = keyed.select("key", "text")
     texts = texts if unique else texts.dropDuplicates(["key"])
     since = mark()
-    per = per_document(texts, length, gram)
+    per, hot = per_document(texts, length, gram)
     some = stored(texts.join(per, F.col("key") == F.col("p_key")).drop("p_key"), "repeating")
-    release(since, some)
-    gone = strip(look_closer(some, length), "key").select(F.col("key").alias("r_key"), "n_removed", "n_spans", "kept_sha256")
+    release(since, some, *([hot] if hot else []))
+    gone = strip(look_closer(some, hot, length), "key").select(F.col("key").alias("r_key"), "n_removed", "n_spans", "kept_sha256")
     raw = F.coalesce("text", F.lit("")).cast("binary")
     rows = keyed.select("doc_id", "key", F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("all_sha256"))
     out = rows.join(gone, F.col("key") == F.col("r_key"), "left")
@@ -413,10 +448,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     keyed, unique = document_keys(docs.select("doc_id", "text", F.struct(*rest).alias("rest")))
     texts = keyed.select("key", "text")
     since = mark()
-    per = per_document(texts if unique else texts.dropDuplicates(["key"]), length, gram)
+    per, hot = per_document(texts if unique else texts.dropDuplicates(["key"]), length, gram)
     rows = stored(keyed.select("key", "text", "rest").join(per, F.col("key") == F.col("p_key"), "left").drop("p_key"), "repeating")
-    release(since, rows)
-    rows = look_closer(rows, length)
+    release(since, rows, *([hot] if hot else []))
+    rows = look_closer(rows, hot, length)
     has = F.coalesce(F.size("cover"), F.lit(0)) > 0
     cut = strip(rows.filter(has), "rest").withColumn("text", whole_characters(F.col("kept"))).filter("text <> ''")
 

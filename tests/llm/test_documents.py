@@ -147,8 +147,9 @@ def test_substring_dedup_of_unique_ids(spark, rows, monkeypatch):
     own = [r for r in rows[:-2] if r[1] is not None]
     df = spark.createDataFrame(own, "doc_id long, text string, lang string, source string, n_chars long")
     want = {i: v[1:4] for i, v in brute_repeats(own, 100).items()}
-    for oversize in (4 << 20, 1000):  # bundles by transform, and by window hashes
+    for oversize, hot in ((4 << 20, 64 << 20), (1000, 64 << 20), (4 << 20, 2000)):  # by transform, by hashes, by rows
         monkeypatch.setattr(substring_dedup, "OVERSIZE", oversize)
+        monkeypatch.setattr(substring_dedup, "HOT", hot)
         assert {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in substring_dedup.digests(df).collect()} == want
 
 
