@@ -8,6 +8,9 @@ from briefloom.llm import language, mixing, near_dedup, packing, substring_dedup
 from briefloom.llm.tables import load, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Jaccard similarity of word shingles, in percent, from which the stage links documents;
+#: the operator's default of 85 is the contract of op3_minhash_near_dedup alone.
+NEAR_PERCENT = 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +20,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each near-duplicate group."""
-    return near_dedup.keep_one(docs.select(*COLUMNS))
+    return near_dedup.keep_one(docs.select(*COLUMNS), NEAR_PERCENT)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

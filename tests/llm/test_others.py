@@ -139,6 +139,22 @@ def test_pipeline(spark):
     assert sum(1 for r in packed if r["start"] == 0) == len(mix)
 
 
+def test_pipeline_links_near_copies_from_0_80(spark):
+    """Pairs between 0.80 and 0.85 lose a document, pairs under 0.80 do not."""
+    import corpus_pipeline
+
+    rows = []
+    for i in range(20):
+        base = [f"w{i}x{k}" for k in range(200)]
+        other = [f"v{i}x{k}" for k in range(40)]
+        for j, m in enumerate((0, 20, 30)):  # Jaccard with the base: 1, 176 / 216, 166 / 226
+            rows.append((3 * i + j, " ".join(base[: 200 - m] + other[10 : 10 + m])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(0)})
+    df = df.filter("doc_id % 3 < 2").union(df.filter("doc_id % 3 = 2").withColumn("text", F.regexp_replace("text", "v", "u")).withColumn("doc_id", F.col("doc_id") + 1000))
+    one = dict(corpus_pipeline.STAGES)["near_dedup"](spark, df, "")
+    assert sorted(r["doc_id"] for r in one.collect()) == sorted([3 * i for i in range(20)] + [3 * i + 1002 for i in range(20)])
+
+
 def test_pipeline_is_registered():
     import __spark_entry__ as driver
 
