@@ -376,6 +376,21 @@ def test_language_model_of_nothing(empty, spark):
     assert [(r["train_tokens"], r["base_score"]) for r in attention_lm.score(only, sample_texts=2).collect()] == [(0, 0.0), (0, 0.0)]
 
 
+def test_network_learns_from_texts_outside_the_start_sample(spark):
+    """An order of words that the sampled text lacks is learned from the others."""
+    cycle = "time people world house water night money story".split()
+    r = np.random.default_rng(6)
+    mixed = lambda n: " ".join(r.choice(cycle, n))
+    df = spark.createDataFrame([(i, " ".join(cycle * 150)) for i in range(150)], "doc_id long, text string")
+    keep = df.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1).orderBy(F.xxhash64("doc_id"), "doc_id").first()["doc_id"]
+    rows = [(i, mixed(1200) if i == keep else " ".join(cycle * 150)) for i in range(150)]
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rows += [(held[0], " ".join(cycle * 20)), (held[1], mixed(160))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {x["doc_id"]: x["score"] for x in attention_lm.score(df, sample_texts=1).collect()}
+    assert got[held[0]] > 0.8 * got[held[1]]  # log10: the learned order is likelier
+
+
 def test_windows_score_each_id_once():
     lengths = np.array([1, 5, 24, 32, 33, 100])
     given_, target, scored, doc = attention_lm.windows(np.arange(lengths.sum()), lengths)
