@@ -1,10 +1,12 @@
 """License scans with a positional index of rare words.
 
-Templates are indexed by their words: each word has postings (template, position)
-and an inverse frequency.  A file's words with the highest inverse frequency are
-looked up, postings are intersected by relative position, so that words in the
-template's order at the template's distances add up, and a candidate becomes a
-label only if the template's mandatory phrase stands where the alignment says.
+A template is the mandatory phrase of a notice, the part that tells licenses apart;
+``*`` in it stands for at most ``SLACK`` words.  Templates are indexed by the words
+before the ``*``: each has postings (template, position) and an inverse frequency.
+A file's words with the highest inverse frequency are looked up, postings are
+intersected by relative position, so that words in the template's order at the
+template's distances add up, and a candidate becomes a label only if the whole
+phrase stands where the alignment says.
 """
 
 from __future__ import annotations
@@ -21,29 +23,53 @@ from .kernels import ALNUM, LOWER, chunks, prefix_hash, span_hash, words
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
 
+#: Words that may stand at the ``*`` of a phrase, as in "License (the License), Version".
+SLACK = 2
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
-    text: str
-    phrase: str  # mandatory, a run of the text's words
+    phrase: str
+
+
+def _versions(label: str, n: int, names: tuple[str, ...], short: tuple[str, ...]) -> tuple[Template, ...]:
+    """The usual ways to give version ``n`` of a license by its long and short names."""
+    forms = [f"{x} {v}" for x in names for v in (f"* version {n}", f"{n}", f"v{n}", f"v {n}")]
+    forms += [f"version {n} of the {x}" for x in names] + [f"version {n} 0 of the {x}" for x in names]
+    forms += [f for x in short for f in (f"{x} version {n}", f"{x} {n} 0", f"{x} v{n}", f"{x}v{n}")]
+    return tuple(Template(label, f) for f in forms)
+
 
+_FSF = "gnu general public license as published by the free software foundation"
 
 #: Short notices in our own words or as commonly given in file headers.
 TEMPLATES = (
-    Template("apache-2.0", "licensed under the apache license version 2 0", "apache license"),
-    Template("mit", "released under the mit license", "mit license"),
-    Template("mit", "licensed under the mit license", "mit license"),
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
-    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc"),
-    Template("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
-    Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa"),
-    Template("cc0-1.0", "released under cc0 1 0 universal", "cc0 1 0"),
-    Template("gpl-3.0", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    Template("gpl-2.0", "this work is licensed under the gnu general public license version 2", "gnu general public license version 2"),
-    Template("lgpl", "licensed under the gnu lesser general public license", "lesser general public license"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
-    Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    Template("all-rights-reserved", "all rights reserved", "all rights reserved"),
+    *_versions("apache-2.0", 2, ("apache license", "apache software license"), ()),
+    Template("apache-2.0", "apache 2 0 license"),
+    Template("apache-2.0", "identifier apache 2 0"),
+    Template("mit", "mit license"),
+    Template("mit", "permission is hereby granted free of charge"),
+    Template("cc-by-nc-4.0", "cc by nc 4 0"),
+    Template("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0"),
+    Template("cc-by-nc-4.0", "creative commons attribution non commercial 4 0"),
+    Template("cc-by-4.0", "cc by 4 0"),
+    Template("cc-by-4.0", "creative commons attribution 4 0"),
+    Template("cc-by-sa-4.0", "cc by sa 4 0"),
+    Template("cc-by-sa-4.0", "creative commons attribution sharealike 4 0"),
+    Template("cc-by-sa-4.0", "creative commons attribution share alike 4 0"),
+    Template("cc0-1.0", "cc0 1 0"),
+    *_versions("gpl-3.0", 3, ("gnu general public license",), ("gpl",)),
+    Template("gpl-3.0", _FSF + " * version 3"),
+    *_versions("gpl-2.0", 2, ("gnu general public license",), ("gpl",)),
+    Template("gpl-2.0", _FSF + " * version 2"),
+    Template("lgpl", "lesser general public license"),
+    Template("lgpl", "library general public license"),
+    Template("lgpl", "lgpl"),
+    Template("bsd", "redistribution and use in source and binary forms"),
+    Template("bsd", "bsd license"),
+    *_versions("mpl-2.0", 2, ("mozilla public license",), ("mpl",)),
+    Template("all-rights-reserved", "all rights reserved"),
 )
 
 
@@ -54,12 +80,13 @@ def _hashes(text: str) -> np.ndarray:
 
 
 class Index:
-    """Postings of the templates' words; ``rare`` words of each template are looked up."""
+    """Postings of the phrases' words; ``rare`` words of each are looked up."""
 
     def __init__(self, templates: tuple[Template, ...] = TEMPLATES, rare: int = 4):
         self.templates = templates
         self.labels = [t.label for t in templates]
-        bodies = [_hashes(t.text) for t in templates]
+        parts = [tuple(_hashes(x) for x in t.phrase.partition("*")[::2]) for t in templates]
+        bodies = [head for head, _ in parts]
         vocabulary, df = np.unique(np.concatenate([np.unique(b) for b in bodies]), return_counts=True)
         idf = np.log1p(len(bodies) / df)
         post: dict[int, list[tuple[int, int, float]]] = {}
@@ -75,11 +102,7 @@ class Index:
         lists = [post[int(w)] for w in self.words]
         self.first = np.cumsum([0, *map(len, lists)])
         self.post = [np.array([p[k] for x in lists for p in x]) for k in range(3)]
-        self.phrases = []
-        for t, body in zip(templates, bodies, strict=True):
-            ph = _hashes(t.phrase)
-            at = next(i for i in range(len(body) - len(ph) + 1) if (body[i : i + len(ph)] == ph).all())
-            self.phrases.append((at, ph))
+        self.parts = parts
 
     def find(self, wh: np.ndarray, doc: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, template, share of the rare weight) of the verified alignments."""
@@ -105,9 +128,9 @@ class Index:
         d, s, t, share = d[head][ok], s[head][ok], t[head][ok], np.minimum(share[ok], 1)
         good = np.zeros(len(d), bool)
         for i in range(len(d)):
-            off, ph = self.phrases[t[i]]
-            a = s[i] + off
-            good[i] = a >= 0 and a + len(ph) <= len(wh) and doc[a] == d[i] == doc[a + len(ph) - 1] and bool((wh[a : a + len(ph)] == ph).all())
+            head, tail = self.parts[t[i]]
+            stands = lambda a, ph: a >= 0 and a + len(ph) <= len(wh) and doc[a] == d[i] == doc[a + len(ph) - 1] and bool((wh[a : a + len(ph)] == ph).all())  # noqa: B023, E731
+            good[i] = stands(s[i], head) and (not len(tail) or any(stands(s[i] + len(head) + g, tail) for g in range(SLACK + 1)))
         return d[good], t[good], share[good]
 
 
@@ -116,7 +139,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: tup
 
     Whole texts, A-Z lower-cased, null as empty.  Words longer than any template
     word cannot match; files without words have empty label lists, null first and
-    last word and score 0.  ``score`` is the best share of a template's rare
+    last word and score 0.  ``score`` is the best share of a phrase's rare
     weight found in place; 1 if a base phrase stands in the text.
     """
 

@@ -252,6 +252,36 @@ def test_licenses(spark, docs, rows):
     assert found == {i: len(word.findall((t or "").translate(LOW))) for i, t, *_ in rows}
 
 
+def test_licenses_in_usual_words(spark):
+    header = "you can redistribute it and/or modify it under the terms of the GNU %sGeneral Public License as published by the Free Software Foundation; either version %d of the License"
+    cases = {
+        "Licensed under the Apache License 2.0": "apache-2.0",
+        "Apache License 2.0": "apache-2.0",
+        "see Apache License v2.0 here": "apache-2.0",
+        'the Apache License (the "License"), Version 2.0': "apache-2.0",
+        "Apache License, Version 1.1": "",
+        "Mozilla Public License 2.0": "mpl-2.0",
+        "terms of the Mozilla Public License, v. 2.0.": "mpl-2.0",
+        "Mozilla Public License 1.1": "",
+        "Licensed under the GNU General Public License version 3": "gpl,gpl-3.0",
+        "version 2 of the GNU General Public License": "gpl,gpl-2.0",
+        header % ("", 3): "gpl,gpl-3.0",
+        header % ("", 2): "gpl,gpl-2.0",
+        header % ("Lesser ", 3): "gpl,lgpl",
+        "GPLv3": "gpl-3.0",
+        "the MIT license applies": "mit",
+        "CC BY-NC-SA 4.0": "cc-by",
+        "Creative Commons Attribution 4.0 International": "cc-by-4.0",
+        "apache helicopter license plate version 2 0": "",
+        "Apache License": "",
+        "Apache version 2.4": "",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["labels"], r["score"] > 0) for r in licenses.scan(df).collect()}
+    assert [got[i] for i in range(len(cases))] == [(x, x != "") for x in cases.values()]
+
+
 def test_mixing(docs, rows, spark):
     got = mixing.mix(docs).collect()
     assert len(got) == len(rows)
