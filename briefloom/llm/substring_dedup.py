@@ -389,7 +389,8 @@ def by_windows(regions: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def strip(covered: DataFrame, carry: str) -> DataFrame:
-    """(carry, n_removed, n_spans, kept_sha256, kept) of documents (text, cover, carry) without their repeats."""
+    """(carry, n_removed, n_spans, kept_sha256, kept) of documents (text, cover, carry) without their
+    repeats; ``kept`` is text, without the bytes that are no part of a whole UTF-8 character."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -410,10 +411,10 @@ def strip(covered: DataFrame, carry: str) -> DataFrame:
                 removed.append(len(body) - len(rest))
                 count.append(len(x))
                 digest.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.binary())], [carry, "n_removed", "n_spans", "kept_sha256", "kept"])
+                kept.append(rest.decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())], [carry, "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    schema = T.StructType([covered.schema[carry], T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
+    schema = T.StructType([covered.schema[carry], T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.StringType())])
     return covered.select(carry, "text", "cover").mapInArrow(apply, schema)
 
 
@@ -453,7 +454,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     release(since, rows, *([hot] if hot else []))
     rows = look_closer(rows, hot, length)
     has = F.coalesce(F.size("cover"), F.lit(0)) > 0
-    cut = strip(rows.filter(has), "rest").withColumn("text", whole_characters(F.col("kept"))).filter("text <> ''")
+    cut = strip(rows.filter(has), "rest").withColumn("text", F.col("kept")).filter("text <> ''")
 
     def column(c: str, changed: bool):
         if c == "text":
@@ -463,8 +464,3 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     same = rows.filter(~has).select(*(column(c, False) for c in docs.columns))
     return same.unionByName(cut.select(*(column(c, True) for c in docs.columns)))
-
-
-def whole_characters(raw):
-    """Bytes as text, without the bytes that are no part of a whole UTF-8 character."""
-    return F.replace(F.make_valid_utf8(raw.cast("string")), F.lit("\ufffd"), F.lit(""))

@@ -169,6 +169,16 @@ def test_remove_repeats(docs, rows):
     assert {r["doc_id"]: r["text"] or "" for r in got.collect()} == want
 
 
+def test_remove_repeats_keeps_replacement_characters(spark):
+    """U+FFFD of the text itself stays; only bytes broken by a cut go."""
+    passage = prose(40)
+    own = [(1, passage + " é", None, None, 0), (2, "a\ufffdb " + passage + " c\ufffdd", None, None, 0), (3, "ê" * 60, None, None, 0), (4, "x" + "ê" * 55 + "y\ufffd", None, None, 0)]
+    df = spark.createDataFrame(own, "doc_id long, text string, lang string, source string, n_chars long")
+    want = {i: v[4].decode(errors="ignore") for i, v in brute_repeats(own, 100).items()}
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == {i: t for i, t in want.items() if t} and got[2].count("\ufffd") == 2 and got[4].endswith("y\ufffd")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab", min_size=0, max_size=60), min_size=1, max_size=6), st.integers(2, 12))
 def test_transform_finds_repeated_windows(texts, length):
