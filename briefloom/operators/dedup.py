@@ -35,30 +35,28 @@ def unknown_links(rows: DataFrame, index: DataFrame) -> DataFrame:
     return rows
 
 
-def greedy(rows: DataFrame, order: str = "ord", limit: int = 1000) -> DataFrame:
+def greedy(rows: DataFrame, order: str = "ord") -> DataFrame:
     """Rows that an ordered scan keeps: a row goes if it shares a signal with an earlier kept one.
 
     Dropped rows register nothing, so this is the lexicographically first maximal
     independent set, not one row per component.  Each round keeps the undecided
     rows that are first in all their signals and drops those that share a signal
-    with them, until none is undecided; more rounds than ``limit`` raise.  Signals
-    are combined by min before the shuffle, so a signal of many rows is cheap.
+    with them, until none is undecided: the first undecided row wins in every round,
+    so this ends.  Rows without a signal share none and are kept.  Signals are
+    combined by min before the shuffle, so a signal of many rows is cheap.
     """
     named = stored(with_signals(rows), "greedy")
     left = stored(signals(named, order), "signals")
-    kept = None
-    for _ in range(limit):
-        if left.isEmpty():
-            out = named.join(kept.distinct(), order, "left_semi") if kept is not None else named.limit(0)
-            return out.select(*rows.columns)
+    kept = named.filter(F.coalesce(*(F.col(f"s_{k}") for k in (*LINK_SIGNALS, "fingerprint"))).isNull()).select(order)
+    while not left.isEmpty():
         first = left.groupBy("kind", "key").agg(F.min(order).alias("__first"))
         marked = left.join(first, ["kind", "key"])
         now = stored(marked.groupBy(order).agg(F.min(F.col(order) == F.col("__first")).alias("win")).filter("win").select(order), "kept")
         taken = left.join(now, order, "left_semi").select("kind", "key").distinct()
         gone = left.join(taken, ["kind", "key"], "left_semi").select(order).distinct()
         left = stored(left.join(gone, order, "left_anti"), "signals")
-        kept = now if kept is None else kept.union(now)
-    raise RuntimeError(f"greedy dedup is undecided after {limit} rounds")
+        kept = kept.union(now)
+    return named.join(kept.distinct(), order, "left_semi").select(*rows.columns)
 
 
 def batch_filter(rows: DataFrame, index: DataFrame, order: str = "ord") -> DataFrame:

@@ -94,3 +94,8 @@ def test_reparse_keeps_old_records_on_failure(spark):
     pages = spark.createDataFrame([("https://n/a", "<p>Ann Lee (Partner)</p>")], "url string, html string")
     got = {r["ord"]: r for r in incremental.reparse_all(deals, pages).collect()}
     assert got[1]["people"][0]["name"] == "Ann Lee" and got[2]["headline"] == "old"
+
+
+def test_greedy_keeps_rows_without_a_signal(spark):
+    df = spark.createDataFrame([(1, None, None, None), (2, None, None, None), (3, "https://a.in/x", None, None), (4, "https://a.in/x", None, None)], "ord long, url string, headline string, snippet string")
+    assert sorted(r["ord"] for r in dedup.greedy(df).collect()) == [1, 2, 3]
