@@ -3,21 +3,38 @@
 from __future__ import annotations
 
 import atexit
+import logging
+import os
+import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-_written: list[tuple[SparkSession, str]] = []
+#: All tables not yet removed; and, by thread, those of the queries that the thread builds.
+_all: dict[str, SparkSession] = {}
+_own = threading.local()
+_log = logging.getLogger(__name__)
+
+
+def _mine() -> list[str]:
+    if not hasattr(_own, "paths"):
+        _own.paths = []
+    return _own.paths
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """The cluster's spark.checkpoint.dir; a temporary one only where none is set and
+    driver and executors are one process (tests).  A cluster without one is an error:
+    its executors would write to their own disks."""
     sc = spark.sparkContext
     known = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not known:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = tempfile.mkdtemp(prefix="briefloom-")
         sc.setCheckpointDir(known)
     return known.rstrip("/")
@@ -33,22 +50,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
+    _all[path] = spark
+    _mine().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def mark() -> int:
-    """A point in time for ``release``."""
-    return len(_written)
+    """A point in time of this thread for ``release``."""
+    return len(_mine())
 
 
 def release(since: int, *keep: DataFrame) -> None:
-    """Remove the tables stored after ``since``, but for those that ``keep`` reads."""
+    """Remove the tables that this thread stored after ``since``, but for those that ``keep`` reads."""
     files = " ".join(f for df in keep for f in df.inputFiles())
-    for entry in _written[since:]:
-        if entry[1].rsplit("/", 1)[-1] not in files:
-            _delete(*entry)
-            _written.remove(entry)
+    paths = _mine()
+    for path in paths[since:]:
+        if path.rsplit("/", 1)[-1] not in files:
+            _delete(_all.pop(path), path)
+            paths.remove(path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -58,11 +77,18 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 @atexit.register
 def _remove() -> None:
-    for entry in _written:
+    while _all:
+        path, spark = _all.popitem()
+        here = path.removeprefix("file://")
         try:
-            _delete(*entry)
-        except Exception:  # noqa: BLE001  the session may have ended before
-            pass
+            if spark.sparkContext._jsc is not None:
+                _delete(spark, path)
+            elif os.path.isdir(here):  # the session ended before
+                shutil.rmtree(here)
+            else:
+                _log.warning("left in place: %s", path)
+        except Exception as e:  # noqa: BLE001  the others are still to go
+            _log.warning("not removed: %s (%s)", path, e)
 
 
 def sequence_ids(df: DataFrame, order: list, name: str) -> DataFrame:
