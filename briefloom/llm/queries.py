@@ -83,13 +83,22 @@ f as (select *, ratio <= level as stops from m),
 t as (
   select source, source_size, case when stops then (source_size * 2)::double
     else (select arg_min(level, (ratio, place)) from f where not stops) * w end as target from f),
-q as (
-  select d.doc_id, d.size, t.source_size, t.target, d.source,
+p as (
+  select d.doc_id, d.size, t.source_size, t.target, d.source, k,
     coalesce(sum(size) over (partition by d.source order by k, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as before
-  from d join t on d.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-  (greatest(0, least(size, floor(target)::bigint - before)) + greatest(0, least(size, floor(target)::bigint - before - source_size)))::bigint as taken,
-  source, before from q
+  from d join t on d.source is not distinct from t.source),
+x as (
+  select p.*, g.epoch, h.start, least(256, p.size - h.start) as words
+  from p, (select unnest([0, 1]) as epoch) g, lateral (select unnest(range(0, p.size, 256)) as start) h),
+o as (
+  select *, (epoch * source_size + before + start + words) / target as finish from x),
+c as (
+  select *, sum(words) over (order by finish, k, doc_id, size, epoch, start rows unbounded preceding) - words as ahead from o),
+b as (select floor(sum(target) + 0.25) as budget from t),
+s1 as (
+  select source, before, sum(greatest(0, least(words, budget - ahead)))::bigint as taken from c, b group by source, before)
+select doc_id, size, source_size, target, case when size = 0 then 0 else taken end as taken, p.source, p.before
+from p left join s1 on size > 0 and p.before = s1.before and p.source is not distinct from s1.source
 """
 
 _NEAR = r"""

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -301,7 +302,7 @@ def test_mixing(docs, rows, spark):
         sizes.setdefault(r["source"], [0, 0, r["target"], r["source_size"]])
         sizes[r["source"]][0] += r["size"]
         sizes[r["source"]][1] += r["taken"]
-    assert all(s == size and int(target) == taken and target <= 2 * size for s, taken, target, size in sizes.values())
+    assert all(s == size and abs(target - taken) <= mixing.PACKET and target <= 2 * size for s, taken, target, size in sizes.values())
     total = sum(s[0] for s in sizes.values())
     assert total == sum(len(WORD.findall(r[1] or "")) for r in rows)
     assert abs(sum(s[2] for s in sizes.values()) - 1.5 * total) < 1e-6
@@ -315,6 +316,33 @@ def test_mixing(docs, rows, spark):
         assert abs(words - target) <= longest
 
 
+def test_queue_by_brute_force(spark):
+    """The queue served packet by packet in the order of virtual finish times; ties by the shuffle key."""
+    texts = [(i, " ".join(["w"] * n), s) for i, (n, s) in enumerate([(700, "a"), (3, "a"), (0, "a"), (40, "b"), (41, "b"), (300, None), (7, "c"), (512, "c")])]
+    texts += [(3, texts[3][1], "b"), (None, "x y", "b"), (9, None, "a")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string").withColumn("target", F.lit("clash"))
+    got = mixing.mix(docs).collect()
+    goal = {r["source"]: (r["target"], r["source_size"]) for r in got}
+    queue = []
+    for r in got:
+        key = hashlib.md5(("" if r["doc_id"] is None else str(r["doc_id"])).encode()).hexdigest()
+        for e in range(2):
+            for a in range(0, r["size"], mixing.PACKET):
+                w = min(mixing.PACKET, r["size"] - a)
+                queue.append(((e * r["source_size"] + r["before"] + a + w) / r["target"], key, r["doc_id"] or -1, r["size"], e, a + w, w, (r["source"], r["before"])))
+    left, want = int(sum(t for t, _ in goal.values()) + 0.25), Counter()
+    for *_, w, row in sorted(queue):
+        want[row] += min(w, left)
+        left -= min(w, left)
+    assert left == 0
+    assert all(r["taken"] == (want[(r["source"], r["before"])] if r["size"] else 0) for r in got)
+    assert len(got) == len(texts) and {goal[s][1] for s in ("a", "b", "c", None)} == {703, 123, 519, 300}
+    none = docs.filter("doc_id = 77")
+    assert mixing.mix(none).count() == 0 and mixing.ordered_mix(none).count() == 0
+    mixed = mixing.ordered_mix(docs)
+    assert mixed.columns == docs.columns and Counter(r["doc_id"] for r in mixed.collect())[3] in (2, 3, 4)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 50), min_size=1, max_size=9))
 def test_water_filling(sizes):
