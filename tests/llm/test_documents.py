@@ -461,12 +461,13 @@ def test_network_learns_from_all_training_texts(spark):
 def test_scores_by_brute_force(spark, docs, rows):
     """Scores against plain loops in double precision: one id, one head of attention at a time."""
     m = attention_lm
-    scorer, _, _ = m.fit(docs, m.count_tokens(docs))
+    tokens = m.tokenize(docs)
+    scorer, _, _ = m.fit(tokens, m.count_tokens(tokens))
     p, v = {k: x.astype(np.float64) for k, x in scorer.network.p.items()}, scorer.vocabulary
     some = [r for r in rows if len(r[1] or "") < 3000][:12]
     data = "".join(r[1] or "" for r in some).encode()
     off = np.cumsum([0] + [len((r[1] or "").encode()) for r in some])
-    got = scorer.texts(m.read_chunk(np.frombuffer(data, np.uint8), off))
+    got = scorer.texts(*m.sequences(m.read_chunk(np.frombuffer(data, np.uint8), off)))
     for r, score in zip(some, got, strict=True):
         ids = [i for w in words_of(r[1]) for i in m._encoder()[0].encode_ordinary(" " + w)] + [m.END]
         total = 0.0
