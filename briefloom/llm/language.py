@@ -27,8 +27,11 @@ from .tables import held_out
 SIZES = (512, 4096, 16384)
 STARTS = (0, 512, 4608)
 WIDTH = sum(SIZES)
-#: Bounds of the labelled sample that the classifier is fitted on.
-PER_LANGUAGE, LANDMARKS = 256, 192
+#: Bounds of the labelled sample that the classifier is fitted on: texts a language, texts in
+#: all (so fewer a language if there are many), and languages (the most frequent).
+PER_LANGUAGE, SAMPLE, LANGUAGES, LANDMARKS = 256, 4096, 512, 192
+#: Rows whose features are numbers, not bits, at one time.
+BLOCK = 256
 UNDETERMINED = "und"
 
 
@@ -93,50 +96,66 @@ class Model:
         return (x @ self.landmarks.T / norm) @ self.weights
 
 
-def fit(flags: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-3) -> Model:
-    """Kernel ridge regression in the span of ``landmarks`` training rows."""
+def fit(bits: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-3) -> Model:
+    """Kernel ridge regression in the span of ``landmarks`` training rows, from packed
+    presence bits (a row each); only ``BLOCK`` rows and the landmarks are unpacked at a time."""
+
+    def features(rows: np.ndarray) -> np.ndarray:
+        x = np.unpackbits(rows, axis=1).astype(np.float32)
+        return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+
     langs = sorted(set(labels))
-    x = flags.astype(np.float64)
-    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-    y = np.array([[1.0 if a == b else -1.0 for b in langs] for a in labels])
     by = {a: [i for i, b in enumerate(labels) if a == b] for a in langs}
     turns = [by[a][k] for k in range(max(map(len, by.values()), default=0)) for a in langs if k < len(by[a])]
-    marks = x[turns[:landmarks]]
-    if not len(marks):
+    if not turns:
         return Model([], np.zeros((0, WIDTH), np.float32), np.zeros((0, 0), np.float32))
-    value, vector = np.linalg.eigh(marks @ marks.T)
-    good = value > 1e-8 * value[-1]
+    marks = features(bits[turns[:landmarks]])
+    value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+    good = value > 1e-6 * value[-1]
     root = vector[:, good] / np.sqrt(value[good])  # Nystrom map: kernel row @ root
-    z = x @ marks.T @ root
-    weight = 1 / np.array([len(by[a]) for a in labels])[:, None]  # languages count alike
-    beta = np.linalg.solve(z.T @ (weight * z) + ridge * len(langs) * np.eye(z.shape[1]), z.T @ (weight * y))
-    return Model(langs, marks.astype(np.float32), (root @ beta).astype(np.float32))
-
-
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model:
-    """Fit on at most ``per_language`` texts of each language.
+    size, place = root.shape[1], {a: k for k, a in enumerate(langs)}
+    left, right = np.zeros((size, size)), np.zeros((size, len(langs)))
+    for lo in range(0, len(bits), BLOCK):
+        z = (features(bits[lo : lo + BLOCK]) @ marks.T).astype(np.float64) @ root
+        part = labels[lo : lo + BLOCK]
+        y = np.full((len(part), len(langs)), -1.0)
+        y[np.arange(len(part)), [place[a] for a in part]] = 1
+        weight = 1 / np.array([len(by[a]) for a in part])[:, None]  # languages count alike
+        left += z.T @ (weight * z)
+        right += z.T @ (weight * y)
+    beta = np.linalg.solve(left + ridge * len(langs) * np.eye(size), right)
+    return Model(langs, marks, (root @ beta).astype(np.float32))
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
+    """Fit on at most ``per_language`` different texts of each language, ``sample`` in all
+    (one a language at least), of the ``languages`` most frequent languages.
 
     Rows count if text and lang are not null, the text has a letter and
-    crc32(doc_id) mod 5 is not 0; those with the smallest hash are taken.  Only
-    their presence bits (2.6 KB a row) come to the driver.
+    crc32(doc_id) mod 5 is not 0; those with the smallest hash are taken, repeated
+    rows as one.  Only their presence bits (2.6 KB a row) come to the driver.
     """
     docs = docs.select("doc_id", "text", "lang")
-    rows = docs.filter("text is not null and lang is not null").filter(~held_out(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("h"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= per_language).select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang")).distinct()
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("lang") == F.col("c_lang"))).select("text", "lang", "doc_id")
+    rows = docs.filter("text is not null and lang is not null").filter(~held_out(F.col("doc_id")))
+    common = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    each = max(1, min(per_language, sample // max(1, len(common))))
+    rows = rows.filter(F.col("lang").isin(common)).select("doc_id", "lang", F.xxhash64("text").alias("t"), F.xxhash64("doc_id", "lang").alias("h")) if common else rows.limit(0).selectExpr("doc_id", "lang", "0L t", "0L h")
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id", "t"))
+    chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= each).select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang"), F.col("t").alias("c_t")).distinct()
+    on = F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("lang") == F.col("c_lang")) & (F.xxhash64("text") == F.col("c_t"))
+    texts = docs.join(F.broadcast(chosen), on).select("text", "lang", "doc_id")  # ``sample`` rows at most
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, flags, _ in presence(b.column(0)):
+            for lo, hi, flags, letters in presence(b.column(0)):
                 packed = np.packbits(flags, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in packed], pa.binary()), b.column(1).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo)], ["bits", "lang", "doc_id"])
+                some = pa.array(letters)
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in packed], pa.binary()).filter(some), b.column(1).slice(lo, hi - lo).filter(some), b.column(2).slice(lo, hi - lo).filter(some)], ["bits", "lang", "doc_id"])
 
-    got = texts.mapInArrow(bits, "bits binary, lang string, doc_id long").collect()
+    got = texts.mapInArrow(bits, "bits binary, lang string, doc_id long").groupBy("lang", "bits").agg(F.min("doc_id").alias("doc_id")).collect()
     got.sort(key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"], r["bits"]))
-    flags = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in got], np.uint8).reshape(-1, WIDTH)
-    some = flags.any(axis=1)
-    return fit(flags[some], [r["lang"] for r, s in zip(got, some, strict=True) if s], landmarks)
+    packed = np.frombuffer(b"".join(r["bits"] for r in got), np.uint8).reshape(len(got), WIDTH // 8)
+    return fit(packed, [r["lang"] for r in got], landmarks)
 
 
 def classify(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray]:

@@ -15,16 +15,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import connected_components
-from .kernels import LOWER, SPACE, chunks, mix, prefix_hash, span_hash, words
+from .kernels import LOWER, SPACE, buffers, chunks, mix, prefix_hash, span_hash, words
 from .tables import mark, release, stored
 
 WORDS, PERCENT = 5, 85
 #: At the threshold 0.85 a pair meets in a table with probability 1 - 7e-5.
 HALF_KEYS, WIDTH = 8, 2
-#: Members of a group that a task compares with as many others.
-TILE = 256
+#: A block: members of a group, and about as many shingles, that a task compares with another block.
+TILE, TILE_SHINGLES = 1024, 1 << 20
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 SPACE_FREE = ~SPACE
 
@@ -126,32 +127,51 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def across(members: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
-    """(a, b): links that join the components of members (hub, cid, comp, text) of one hub.
+def sets_of(texts: DataFrame, k: int = WORDS) -> DataFrame:
+    """``texts`` (text, ...) with the text replaced by ``shingles``, its sorted 64-bit shingle hashes."""
+    rest = [f for f in texts.schema if f.name != "text"]
 
-    The members of a hub are cut into tiles of ``TILE``; a task numbers the
-    shingles of two tiles and counts the intersections of a member with all
-    others at once.  Sets are whole, so what it emits is verified; once two
-    components are joined in a tile, their pairs are not looked at again.
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi, data, off in chunks(b.column(len(rest))):
+                sets, n = shingle_sets(data, off, k)
+                each = [x.tobytes() for x in np.split(sets, np.cumsum(n)[:-1])]
+                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(lo, hi - lo) for i in range(len(rest))), pa.array(each, pa.binary())], [*(f.name for f in rest), "shingles"])
+
+    return texts.select(*(f.name for f in rest), "text").mapInArrow(shingle, T.StructType([*rest, T.StructField("shingles", T.BinaryType())]))
+
+
+def tiles(members: DataFrame, tile: int | None = None, most: int | None = None) -> DataFrame:
+    """(hub, i, j, right, cid, comp, shingles): the blocks i and j of a hub that meet in a task.
+
+    A group is cut into as many blocks as its members and its shingles need; a set
+    is sent once for each block of its group, so a group of one block is sent once.
     """
-    count = members.groupBy(F.col("hub").alias("c_hub")).agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+    size = F.ceil(F.greatest(F.count("*") / (tile or TILE), F.sum(F.length("shingles") / 8) / (most or TILE_SHINGLES)))
+    count = members.groupBy(F.col("hub").alias("c_hub")).agg(size.alias("blocks"))
     rows = members.join(count, F.col("hub") == F.col("c_hub"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("tiles"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    rows = rows.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("right"), "cid", "comp", "text")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return rows.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("right"), "cid", "comp", "shingles")
+
+
+def across(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join the components of members (hub, cid, comp, shingles) of one hub.
+
+    A task numbers the shingles of two blocks and counts the intersections of a
+    member with all others at once.  Sets are whole, so what it emits is verified;
+    once two components are joined in a task, their pairs are not looked at again.
+    """
+    rows = tiles(members)
 
-    def compare(right: np.ndarray, cid: np.ndarray, comp: np.ndarray, text: pa.Array) -> list[tuple[int, int]]:
+    def compare(right: np.ndarray, cid: np.ndarray, comp: np.ndarray, shingles: pa.Array) -> list[tuple[int, int]]:
         comp = np.unique(comp, return_inverse=True)[1]
         left = np.flatnonzero(~right)
         other = np.flatnonzero(right) if right.any() else left
         if not len(left) or comp.max() == 0:
             return []
-        sets, sizes = [], []
-        for _, _, data, off in chunks(text):
-            s, n = shingle_sets(data, off, k)
-            sets.append(s)
-            sizes.append(n)
-        n = np.concatenate(sizes)
-        ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        raw, off = buffers(shingles)
+        n = np.diff(off) // 8
+        ids = np.unique(raw[off[0] : off[-1]].view(np.uint64), return_inverse=True)[1]
         head = np.cumsum(n) - n
         spans = [ids[h : h + m] for h, m in zip(head.tolist(), n.tolist(), strict=True)]
         flag = np.zeros(int(ids.max()) + 1, bool)
@@ -180,8 +200,8 @@ def across(members: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
             head = np.append(np.flatnonzero(new), len(new))
             last = len(head) - 1 if final else len(head) - 2
             cols = [table.column(c).to_numpy() for c in ("right", "cid", "comp")]
-            text = table.column("text")
-            got = [p for lo, hi in zip(head[:last].tolist(), head[1 : last + 1].tolist(), strict=True) if hi - lo > 1 for p in compare(*(c[lo:hi] for c in cols), text.slice(lo, hi - lo))]
+            sets = table.column("shingles")
+            got = [p for lo, hi in zip(head[:last].tolist(), head[1 : last + 1].tolist(), strict=True) if hi - lo > 1 for p in compare(*(c[lo:hi] for c in cols), sets.slice(lo, hi - lo))]
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in got], pa.int64()), pa.array([p[1] for p in got], pa.int64())], ["a", "b"]), table.slice(int(head[last]))
 
         for b in batches:
@@ -223,10 +243,9 @@ def links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int =
     """Verified edges (a, b) that connect every linked candidate pair of classes.
 
     A table's bucket is not expanded into pairs.  The buckets that have the same
-    least member form a group with it as hub; the members of a group are compared
-    with the hub and, where the group still spans components, with the member
-    nearest to the hub, so n near copies cost about 2 n comparisons.  Members that
-    are still in different components are compared tile by tile, so no link
+    least member form a group with it as hub.  Members are compared with the hub,
+    so n near copies cost n comparisons; members that are still in different
+    components are compared block by block on their shingle sets, so no link
     between candidates is lost.  All joins with texts are sort-merge joins at any
     size: neither side has a bound.
     """
@@ -237,21 +256,13 @@ def links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int =
     per = per.groupBy("hub", "top", "n", "s").agg(F.min("key").alias("k")).select("k", "hub")
     members = stored(raw.join(per, F.col("key") == F.col("k")).select("hub", "cid").distinct().join(sizes, "cid"), "groups")
     ids = members.select("cid").distinct().hint("merge")
-    texts = stored(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("cid")).select("cid", "text"), "texts")
-    linked = lambda d: d.filter(F.col("inter") * 100 >= F.col("uni") * percent).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    texts = stored(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("cid")).select("cid", "text").dropDuplicates(["cid"]), "texts")
     on = sizes.select(F.col("cid").alias("y"), F.col("n_shingles").alias("ny"))
     pairs = members.filter("cid <> hub").select(F.col("cid").alias("x"), F.col("hub").alias("y"), F.col("n_shingles").alias("nx")).join(on, "y").filter(_fits(F.col("nx"), F.col("ny"), percent))
-    done = stored(verify(pairs.select("x", "y"), texts, k), "verified")
-    edges = linked(done)
-    near = done.select(F.col("x").alias("cid"), F.col("y").alias("hub"), (F.col("inter") / F.col("uni")).alias("near"))
-    open_ = still_open(members.join(near, ["cid", "hub"], "left"), edges)
-    best = F.max_by(F.struct("cid", "comp", "n_shingles"), F.when(F.col("cid") != F.col("hub"), F.struct(F.coalesce("near", F.lit(0.0)), -F.col("cid"))))
-    nearest = open_.groupBy(F.col("hub").alias("n_hub")).agg(best.alias("p"))
-    cand = open_.join(nearest, F.col("hub") == F.col("n_hub")).filter("p.cid <> cid and p.comp <> comp").filter(_fits(F.col("n_shingles"), F.col("p.n_shingles"), percent))
-    cand = cand.select(F.greatest("cid", "p.cid").alias("x"), F.least("cid", "p.cid").alias("y")).distinct()
-    edges = edges.union(linked(stored(verify(cand, texts, k), "verified")))
-    open_ = still_open(open_.drop("comp"), edges).select("hub", "cid", "comp").join(texts.hint("merge"), "cid")
-    return edges.union(stored(across(open_, percent, k), "verified"))
+    done = verify(pairs.select("x", "y"), texts, k).filter(F.col("inter") * 100 >= F.col("uni") * percent)
+    edges = stored(done.select(F.col("x").alias("a"), F.col("y").alias("b")), "verified")
+    open_ = still_open(members, edges).select("hub", "cid", "comp").join(texts.hint("merge"), "cid")
+    return edges.union(stored(across(sets_of(open_, k), percent), "verified"))
 
 
 def still_open(members: DataFrame, edges: DataFrame) -> DataFrame:

@@ -222,7 +222,7 @@ def test_language_accuracy(spark):
 def test_kernel_is_the_normalized_intersection():
     texts = ["ab abc", "abd", "xyz q", "ab abc"]
     flags = next(language.presence(pa.array(texts)))[2]
-    model = language.fit(flags, ["a", "a", "b", "a"], landmarks=4)
+    model = language.fit(np.packbits(flags, axis=1), ["a", "a", "b", "a"], landmarks=4)
     x = flags.astype(float) / np.sqrt(flags.sum(axis=1, keepdims=True))
     assert np.allclose((flags @ model.landmarks.T) / np.sqrt(flags.sum(axis=1, keepdims=True)), x @ model.landmarks.T.astype(float), atol=1e-5)
     assert [model.languages[k] for k in model.scores(flags).argmax(axis=1)] == ["a", "a", "b", "a"]
@@ -444,6 +444,28 @@ def test_language_model_of_nothing(empty, spark):
     assert [(r["train_tokens"], r["base_score"]) for r in attention_lm.score(only).collect()] == [(0, 0.0), (0, 0.0)]
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Repeated rows count once, many languages share the sample, rare ones beyond the bound are not learned."""
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda bits, labels, landmarks: seen.append(labels))
+    same = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("the same text").alias("text"), F.lit("aa").alias("lang"))
+    many = spark.range(2000).select("id", F.concat(F.lit("text "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("t"), F.concat(F.lit("l"), (F.col("id") % 40).cast("string")).alias("l")).toDF("doc_id", "text", "lang")
+    language.train(same)
+    language.train(many, sample=80)
+    language.train(many.union(many.limit(10)), languages=4)
+    assert [len(x) for x in seen][:2] == [1, 80] and len(set(seen[1])) == 40 and len(set(seen[2])) == 4
+
+
+def test_tiles_send_a_set_once_a_block(spark):
+    sets = spark.range(5000).select(F.lit(7).alias("hub"), F.col("id").alias("cid"), F.col("id").alias("comp"), F.expr("cast(repeat('x', 8 * 100) as binary)").alias("shingles"))
+    blocks = -(-5000 // near_dedup.TILE)
+    assert near_dedup.tiles(sets).count() == 5000 * blocks
+    assert near_dedup.tiles(sets.limit(1000)).count() == 1000
+    assert near_dedup.tiles(sets.limit(1000), most=30_000).count() == 1000 * 4
+    load = near_dedup.tiles(sets).groupBy("i", "j").agg(F.sum(F.length("shingles")).alias("n")).agg(F.max("n")).first()[0]
+    assert load < 2.6 * near_dedup.TILE * 800
+
+
 def test_network_learns_from_all_training_texts(spark):
     """An order of words that only the last round's texts have is learned."""
     cycle = "time people world house water night money story".split()
