@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,15 @@ def truthy(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` needs it.
+
+    Expressions inside lambdas are not shared by the optimizer, and a column used
+    twice is copied twice: chains of them grow exponentially.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def squeeze(c: Column) -> Column:
     """White space collapsed to single spaces and trimmed."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))

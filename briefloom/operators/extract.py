@@ -81,13 +81,15 @@ def plural_credits(paragraph: Column, dims: Dims = DEFAULT) -> Column:
 
     The tokens are joined by single spaces; a list is a marker, then separators
     and name words, up to a word that ends a sentence or is neither.  Inside a
-    list markers are name words like others.  Names need two words.
+    list markers are name words like others.  Names need two words.  The repeated
+    group is possessive: it never has to give a word back, and so the matcher loops
+    instead of recursing, at any length of a list.
     """
     tokens = F.array_join(F.filter(F.split(F.replace(paragraph, F.lit(","), F.lit(" , ")), r"(?U)\s+"), lambda w: w != ""), " ")
     markers = "|".join(sorted(dims.plurals, key=lambda m: (-len(m.split()), m)))
     lead = "|".join([r"-*(?:\p{Lu}|\p{Lt})[\p{L}-]*", *(f"(?i:{p})" for p in dims.particles)])
     plain, closing = rf"\.*(?:{lead})(?![^ ])", rf"\.*(?:{lead})\.+(?![^ ])"
-    shape = rf"(?<![^ ])({markers})(?![^ ])((?: (?:,|and|{plain})(?![^ ]))*(?: {closing})?)"
+    shape = rf"(?<![^ ])({markers})(?![^ ])((?: (?:,|and|{plain})(?![^ ]))*+(?: {closing})?)"
     found, lists = (F.regexp_extract_all(tokens, F.lit(shape), F.lit(i)) for i in (1, 2))
     role = F.create_map(*[F.lit(x) for pair in dims.plurals.items() for x in pair])
     names = lambda text: F.filter(F.transform(F.split(F.concat(text, F.lit(" ")), r" (?:,|and)(?= )"), lambda n: F.trim(F.regexp_replace(n, r"\.+(?= |$)", ""))), lambda n: F.contains(n, F.lit(" ")))

@@ -26,7 +26,7 @@ def supplement(paras: DataFrame, people: DataFrame, dims: Dims = DEFAULT, detect
     """
     known = people.groupBy(F.col("ord").alias("k_ord")).agg(F.collect_set(F.lower("name")).alias("known"))
     rows = paras.filter(F.array_contains("law_firms", F.col("firm"))).join(known, F.col("ord") == F.col("k_ord"), "left").select("ord", "para", "text", "firm", F.coalesce("known", F.array().cast("array<string>")).alias("known"))
-    role_after = re.compile(r"\s*\((" + "|".join(map(re.escape, dims.roles)) + r")\s*[,;)]")
+    role_after = re.compile(r"\s*\(\s*(" + "|".join(map(re.escape, dims.roles)) + r")\s*[,;)]")
     firms = set(dims.known_firms)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:

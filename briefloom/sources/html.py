@@ -85,25 +85,46 @@ class _Page(HTMLParser):
             self.anchor.append(data)
 
 
-def _parse(html: str | None) -> _Page:
+def _parse(html: str | None) -> _Page | None:
+    """The page, or None where the parser gives up on its markup."""
     page = _Page()
-    page.feed(html or "")
-    page.close()
+    try:
+        page.feed(html or "")
+        page.close()
+    except (AssertionError, ValueError):  # declarations that are none
+        return None
     return page
 
 
+def _joined(root: str, href: str) -> str | None:
+    try:
+        return urljoin(root, href)
+    except ValueError:  # such as a bracket without its partner in the host
+        return None
+
+
 @F.pandas_udf(ANCHORS)
 def anchors_of(html: pd.Series) -> pd.Series:
-    """Every anchor with an href, in order; text pieces stripped and joined."""
-    return html.map(lambda h: [{"href": a, "text": "".join(x.strip() for x in t)} for a, t in _parse(h).links])
+    """Every anchor with an href, in order; text pieces stripped and joined.  Null if the
+    page cannot be parsed."""
+    return html.map(lambda h: _anchors(_parse(h)))
+
+
+def _anchors(page: _Page | None, root: str | None = None) -> list[dict] | None:
+    if page is None:
+        return None
+    return [{"href": a if root is None else _joined(root, a), "text": "".join(x.strip() for x in t)} for a, t in page.links]
 
 
 @F.pandas_udf(TEXTS)
 def paragraphs_of(html: pd.Series) -> pd.Series:
-    """Texts of the paragraphs of the first article, else the article body, else the page."""
+    """Texts of the paragraphs of the first article, else the article body, else the page.
+    Null if the page cannot be parsed."""
 
-    def texts(h: str | None) -> list[str]:
+    def texts(h: str | None) -> list[str] | None:
         page = _parse(h)
+        if page is None:
+            return None
         where = "article" if "article" in page.seen else "body" if "body" in page.seen else "all"
         return [" ".join(s for x in p if (s := x.strip())) for p in page.paragraphs[where]]
 
@@ -114,12 +135,12 @@ def scan_links(pages: DataFrame, dims: Dims = DEFAULT) -> DataFrame:
     """(page_id, pos, href, text) of a listing's article links.
 
     Relative links are joined to the site root; links elsewhere, with short texts
-    or outside the section go.  A link given twice has the place of its first and
-    the text of its last anchor.
+    or outside the section go, as do links that are no URL and pages that cannot be
+    parsed.  A link given twice has the place of its first and the text of its last anchor.
     """
     root = dims.site_root
-    absolute = F.pandas_udf(lambda s: s.map(lambda h: urljoin(root, h)), "string")
-    rows = pages.select("page_id", F.posexplode(anchors_of("html")).alias("pos", "a")).select("page_id", "pos", "a.text", absolute(F.col("a.href")).alias("href"))
+    absolute = F.pandas_udf(lambda s: s.map(lambda h: _anchors(_parse(h), root)), ANCHORS)
+    rows = pages.select("page_id", F.posexplode(absolute("html")).alias("pos", "a")).select("page_id", "pos", "a.text", "a.href")
     rows = rows.filter(F.startswith("href", F.lit(root)) & (F.length("text") >= dims.min_link_text) & F.contains("href", F.lit(dims.section)))
     return rows.groupBy("page_id", "href").agg(F.min("pos").alias("pos"), F.max_by("text", "pos").alias("text")).select("page_id", "pos", "href", "text")
 

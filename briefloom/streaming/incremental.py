@@ -47,10 +47,12 @@ class State:
 def parse(articles: DataFrame, dims: Dims = DEFAULT, detector: Callable | None = None) -> DataFrame:
     """Deal records of pages with ``error``; one bad page costs itself only."""
     failed = F.col("html").isNull() | (F.trim("html") == "") | F.col("headline").isNull()
-    good = articles.filter(~failed).withColumn("paragraphs", paragraphs_of("html"))
+    read = articles.filter(~failed).withColumn("paragraphs", paragraphs_of("html"))
+    good = read.filter("paragraphs is not null")
     records = parse_articles(good.select("ord", "url", "headline", "paragraphs"), dims, detector).withColumn("error", F.lit(None).cast("string"))
     bad = articles.filter(failed).select("ord", "url", "headline", F.lit("no page").alias("error"))
-    return records.unionByName(bad, allowMissingColumns=True)
+    broken = read.filter("paragraphs is null").select("ord", "url", "headline", F.lit("page cannot be parsed").alias("error"))
+    return records.unionByName(bad, allowMissingColumns=True).unionByName(broken, allowMissingColumns=True)
 
 
 def run_batch(articles: DataFrame, batch: int, state: State, dims: Dims = DEFAULT, detector: Callable | None = None) -> DataFrame:

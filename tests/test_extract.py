@@ -59,6 +59,13 @@ def test_plural_credits(column):
     assert [[tuple(p) for p in r] for r in column(extract.plural_credits, list(cases))] == list(cases.values())
 
 
+def test_long_credit_lists(column):
+    """A list of 20,000 names neither recurses nor loses a name."""
+    names = [f"Ann{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} Lee{chr(97 + i // 676 % 26)}{chr(97 + i // 17576)}" for i in range(20000)]
+    got = column(extract.plural_credits, ["Partners " + ", ".join(names[:-1]) + " and " + names[-1] + ". More."])[0]
+    assert [r["name"] for r in got] == names
+
+
 def test_firm_context_is_carried_forward(spark):
     paragraphs = ["Team news.", "Zed Law also advised Widget.", "Credits.", "Acme Legal and Zed Law advised Widget.", "The Firm advised Widget."]
     rows = spark.createDataFrame([(1, paragraphs, ["Acme Legal", "Zed Law"])], "ord long, paragraphs array<string>, law_firms array<string>")

@@ -122,3 +122,26 @@ def test_observed_counts(spark):
     df, seen = sinks.observed(spark.range(10), "count", even=F.col("id") % 2 == 0)
     df.collect()
     assert seen.get == {"rows": 10, "even": 5}
+
+
+def test_broken_pages_cost_themselves_only(spark):
+    from briefloom.dims import DEFAULT
+    from briefloom.sources import html
+    from briefloom.streaming.incremental import parse
+
+    good = f"<a href='{DEFAULT.site_root}{DEFAULT.section}/a-b'>{'long text ' * 9}</a><article><p>Words</p></article>"
+    pages = [(1, good), (2, "<![foo[x]]>" + good), (3, "<a href='http://[x'>" + "y" * 90 + "</a>" + good)]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    assert {r["page_id"] for r in html.scan_links(df).collect()} == {1, 3}
+    articles = df.select(df.page_id.alias("ord"), df.page_id.cast("string").alias("url"), df.page_id.cast("string").alias("headline"), "html")
+    assert {r["ord"]: r["error"] for r in parse(articles).collect()} == {1: None, 2: "page cannot be parsed", 3: None}
+
+
+def test_bare_names_are_skipped(spark):
+    from briefloom.operators.consolidate import star
+
+    people = [("x\n", None, None, None), ("\u00a0", None, None, None), ("Ann Lee", None, None, None)]
+    row = (0, "Acme Legal advises", None, None, "u", None, ["Acme Legal"], [], people)
+    kinds = "ord long, headline string, client string, source string, url string, snippet string, law_firms array<string>, transaction_types array<string>, people array<struct<name:string,role:string,firm:string,client:string>>"
+    s = star(spark.createDataFrame([row], kinds))
+    assert [r["name"] for r in s.people.collect()] == ["Ann Lee"] and s.counters.first()["skipped_people"] == 2
