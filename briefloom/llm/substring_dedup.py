@@ -8,11 +8,15 @@
    Only contexts that differ while they share an anchor, at the edges of repeated
    passages, are looked at closer; they are gathered in bundles by the 512-byte
    block where the anchor first occurs.
-3. In a bundle, a Burrows-Wheeler transform is extended backward breadth-first:
-   the boundaries between suffixes with common prefixes of 0, 1, 2, ... bytes are
-   derived from those with one byte less.  At ``length`` the expansion stops:
-   what is still undivided are classes of equal windows, of which the earliest
-   start stays.
+3. In a block of bundles, a Burrows-Wheeler transform is extended backward
+   breadth-first: the boundaries between suffixes with common prefixes of 0, 1,
+   2, ... bytes are derived from those with one byte less.  At ``length`` the
+   expansion stops: what is still undivided are classes of equal windows, of which
+   the earliest start stays.
+4. A bundle of more than a block is divided first, by the bytes that all windows
+   within some distance of an anchor share; equal windows stay together.  What is
+   still more than a block is divided again at a smaller distance, down to single
+   windows.  So blocks are bounded, and every block is decided by the transform.
 """
 
 from __future__ import annotations
@@ -26,15 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.lineage import sequence_ids
 from .kernels import buffers, chunks, mix, powers, prefix_hash, span_hash
 from .tables import mark, release, stored
 
 LENGTH, GRAM = 100, 20
 BLOCK = 512
-#: Bytes of bundles that are transformed together; a larger bundle is classed by window hashes.
-TOGETHER, OVERSIZE = 1 << 20, 4 << 20
-#: Bytes of contexts from which a bundle's windows become rows instead.
-HOT = 64 << 20
+#: Bytes of bundles that are transformed together; bytes of contexts from which a bundle is
+#: divided; and the window starts that the parts have, division by division.
+TOGETHER, DIVIDE, WIDTHS = 1 << 20, 6 << 20, (27, 9, 1)
 
 
 def document_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
@@ -49,8 +53,8 @@ def document_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
     if ids.filter("n > 1 or doc_id is null").isEmpty():
         return docs.withColumn("key", F.col("doc_id")), True
     named = docs.withColumn("k_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = named.select("doc_id", "k_hash").distinct().orderBy(F.asc_nulls_first("doc_id"), "k_hash")
-    ranks = stored(rows.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("r_id long, r_hash long, key long"), "keys")
+    rows = named.select(F.col("doc_id").alias("r_id"), F.col("k_hash").alias("r_hash")).distinct()
+    ranks = stored(sequence_ids(rows, [F.asc_nulls_first("r_id"), F.asc("r_hash")], "key"), "keys")
     return named.join(ranks, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("k_hash") == F.col("r_hash"))).drop("r_id", "r_hash", "k_hash"), False
 
 
@@ -195,12 +199,15 @@ def resolve(rows: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of a byte string sorted by their first ``depth`` bytes, by doubling ranks."""
-    n = len(text)
-    padded = np.concatenate([text, np.full(depth + 8, 255, np.uint8)]).astype(np.uint64)
-    word = np.zeros(n + depth, np.uint64)
+    """Suffixes of a byte string sorted by ``depth`` bytes at least, by doubling ranks: by 8,
+    16, 32, ... bytes, and so by the first power of two that reaches ``depth``."""
+    n, full = len(text), 8
+    while full < depth:
+        full *= 2
+    padded = np.concatenate([text, np.full(full + 8, 255, np.uint8)]).astype(np.uint64)
+    word = np.zeros(n + full, np.uint64)
     for j in range(8):
-        word = (word << np.uint64(8)) | padded[j : j + n + depth]
+        word = (word << np.uint64(8)) | padded[j : j + n + full]
     have, order = 8, None
     key = word
     while True:
@@ -208,11 +215,10 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         step = key[order]
         rank = np.empty(len(key), np.int64)
         rank[order] = np.cumsum(np.r_[0, step[1:] != step[:-1]])
-        if have >= depth:
+        if have == full:
             return order[order < n]
-        shift = min(have, depth - have)
-        second = np.concatenate([rank[shift:], np.full(shift, rank[-1])])
-        key, have = (rank << 32) | second, have + shift
+        second = np.concatenate([rank[have:], np.full(have, rank[-1])])
+        key, have = (rank << 32) | second, have * 2
 
 
 def window_classes(order: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
@@ -260,25 +266,15 @@ def repeated_windows(text: np.ndarray, place: np.ndarray, valid: np.ndarray, len
     return np.sort(order[late])
 
 
-def repeated_by_hash(text: np.ndarray, place: np.ndarray, valid: np.ndarray, length: int, rounds: int) -> np.ndarray:
-    """As ``repeated_windows`` by window hashes, a share of them at a time."""
-    prefix = prefix_hash(text)
-    h = mix((prefix[length:] - prefix[:-length]) * powers(len(prefix))[1][: len(text) - length + 1])
-    out = []
-    for k in range(rounds):
-        at = np.flatnonzero(valid[: len(h)] & (h % np.uint64(rounds) == k))
-        order = at[np.lexsort((place[at], h[at]))]
-        new = np.r_[True, h[order][1:] != h[order][:-1]]
-        if len(order):
-            low = place[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-            out.append(order[place[order] > low])
-    return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
-
-
 def expand(regions: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(d, s, e): repeats within the bundles of regions (bundle, d, s, body)."""
+    """(d, s, e): repeats within the bundles of regions (bundle, d, s, body).
 
-    def flush(held: list[tuple]) -> pa.RecordBatch:
+    Bodies of a bundle that are equal byte by byte are held once, the earliest: the
+    others are repeats as they stand.
+    """
+
+    def flush(bodies: dict[tuple, tuple], repeats: list[tuple]) -> pa.RecordBatch:
+        held = [(d, s, body) for (_, body), (d, s) in bodies.items()]
         d = np.array([x[0] for x in held], np.int64)
         s = np.array([x[1] for x in held], np.int64)
         sizes = np.array([len(x[2]) for x in held], np.int64)
@@ -288,24 +284,34 @@ def expand(regions: DataFrame, length: int = LENGTH) -> DataFrame:
         inner = np.arange(len(text)) - head[who]
         place = (np.unique(d, return_inverse=True)[1][who] << 32) | (s[who] + inner)
         valid = inner + length <= sizes[who]
-        late = repeated_windows(text, place, valid, length) if len(text) <= OVERSIZE else repeated_by_hash(text, place, valid, length, -(-len(text) // OVERSIZE) * 4)
+        late = repeated_windows(text, place, valid, length)
         at = s[who[late]] + inner[late]
-        x, y, z = merge(d[who[late]], at, at + length)
+        more = np.array(repeats, np.int64).reshape(-1, 3)
+        x, y, z = merge(np.concatenate([d[who[late]], more[:, 0]]), np.concatenate([at, more[:, 1]]), np.concatenate([at + length, more[:, 2]]), length)
         return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y.astype(np.int32)), pa.array(z.astype(np.int32))], ["d", "s", "e"])
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: dict[tuple, tuple] = {}
+        repeats: list[tuple] = []
         size, last = 0, None
         for b in batches:
             for bundle, d, s, body in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                if size >= TOGETHER and bundle != last:
-                    yield flush(held)
-                    held, size = [], 0
-                held.append((d, s, body))
-                size += len(body)
-                last = bundle
+                if (size >= TOGETHER and bundle != last) or len(repeats) >= 100_000:
+                    full = size >= TOGETHER and bundle != last
+                    yield flush(held if full else {}, repeats)
+                    repeats = []
+                    if full:
+                        held, size = {}, 0
+                last, old = bundle, held.get((bundle, body))
+                if old is None:
+                    size += len(body)
+                    held[bundle, body] = (d, s)
+                elif old != (d, s):  # a division can give a part twice
+                    held[bundle, body] = min(old, (d, s))
+                    late = max(old, (d, s))
+                    repeats.append((*late, late[1] + len(body)))
         if held:
-            yield flush(held)
+            yield flush(held, repeats)
 
     n = int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return regions.repartition(n, "bundle").sortWithinPartitions("bundle").mapInArrow(stream, "d long, s int, e int")
@@ -338,13 +344,13 @@ def cut_regions(docs: DataFrame) -> DataFrame:
 
 def per_document(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame | None]:
     """(p_key, cover, spots) of documents (key, text): repeats, and contexts to look at
-    closer; and the bundles (h_bundle) of more than ``HOT`` bytes, None if there are none."""
+    closer; and the bundles (h_bundle) of more than ``DIVIDE`` bytes, None if there are none."""
     found = stored(resolve(anchors(texts, length, gram), length), "repeats")
     repeat = F.when(F.col("bundle").isNull(), F.struct("s", "e"))
     spot = F.when(F.col("bundle").isNotNull(), F.struct("bundle", "s", "e"))
     per = found.groupBy(F.col("d").alias("p_key")).agg(F.collect_list(repeat).alias("cover"), F.collect_list(spot).alias("spots"))
     size = F.sum((F.col("e") - F.col("s")).cast("long"))
-    hot = stored(found.filter("bundle is not null").groupBy(F.col("bundle").alias("h_bundle")).agg(size.alias("size")).filter(F.col("size") > HOT).select("h_bundle"), "hot")
+    hot = stored(found.filter("bundle is not null").groupBy(F.col("bundle").alias("h_bundle")).agg(size.alias("size")).filter(F.col("size") > DIVIDE).select("h_bundle"), "hot")
     return per, None if hot.isEmpty() else hot
 
 
@@ -357,35 +363,73 @@ def look_closer(rows: DataFrame, hot: DataFrame | None = None, length: int = LEN
     if hot is None:
         more = expand(regions, length)
     else:
-        regions = stored(regions, "regions")
-        own = F.col("bundle") == F.col("h_bundle")
-        more = expand(regions.join(hot, own, "left_anti"), length).unionByName(by_windows(regions.join(hot, own, "left_semi"), length))
+        more = divided(stored(regions, "regions"), hot, length)
     closer = more.groupBy(F.col("d").alias("p_key")).agg(F.collect_list(F.struct("s", "e")).alias("more"))
     joined = hard.join(closer, F.col("key") == F.col("p_key"), "left")
     joined = joined.withColumn("cover", F.concat("cover", F.coalesce("more", F.array().cast("array<struct<s:int,e:int>>"))))
     return rows.filter(~open_).drop("spots").unionByName(joined.drop("spots", "p_key", "more"))
 
 
-def by_windows(regions: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(d, s, e): repeats within bundles that no one task should hold: an edge that a large
-    part of all documents share.  Windows are rows; the earliest of each hash is an
-    aggregate that is combined before the shuffle, and is joined back."""
+def divided(regions: DataFrame, hot: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(d, s, e): repeats of regions (bundle, d, s, body), the bundles ``hot`` in parts.
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Parts are tables, and division goes on only with those that are still more
+    than a block.  The last division makes each window a part of its own.
+    """
+    own = F.col("bundle") == F.col("h_bundle")
+    more = expand(regions.join(hot, own, "left_anti"), length)
+    rows = regions.join(hot, own, "left_semi")
+    for width in WIDTHS:
+        parts = stored(divide(rows, width, length, gram), "parts")
+        sure = parts.filter("bundle is null").select("d", "s", (F.col("s") + F.length("body")).alias("e"))
+        parts = parts.filter("bundle is not null")
+        size = F.sum(F.length("body").cast("long"))
+        hot = stored(parts.groupBy(F.col("bundle").alias("h_bundle")).agg(size.alias("size")).filter(F.col("size") > DIVIDE).select("h_bundle"), "hot")
+        if width == 1 or hot.isEmpty():
+            return more.unionByName(sure).unionByName(expand(parts, length))
+        more = more.unionByName(sure).unionByName(expand(parts.join(hot, own, "left_anti"), length))
+        rows = parts.join(hot, own, "left_semi")
+    return more
+
+
+def divide(regions: DataFrame, width: int, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(bundle, d, s, body): the windows of ``regions``, ``width`` starts of one anchor to a part.
+
+    A part's bundle is a hash of the bytes that all its windows share, so equal
+    windows, which have equal anchors, meet in one bundle.  Of equal parts read
+    together the first stays; the others are certain repeats and have no bundle.
+    """
+    reach = length - gram
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, off in chunks(b.column(3)):
                 prefix = prefix_hash(data)
-                n = np.maximum(0, np.diff(off) - length + 1)
-                row = np.repeat(np.arange(hi - lo), n)
-                inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                at = off[row] + inner
-                h = mix((prefix[at + length] - prefix[at]) * powers(len(prefix))[1][at])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(1).slice(lo, hi - lo).take(pa.array(row)), pa.array((b.column(2).to_numpy()[lo:hi][row] + inner).astype(np.int32))], ["h", "d", "s"])
-
-    rows = regions.mapInArrow(windows, "h long, d long, s int")
-    first = rows.groupBy(F.col("h").alias("f_h")).agg(F.min(F.struct("d", "s")).alias("first"))
-    late = rows.join(first, F.col("h") == F.col("f_h")).filter(F.struct("d", "s") > F.col("first"))
-    return late.select("d", "s", (F.col("s") + length).alias("e")).distinct()
+                at, _, doc = anchor_places(prefix, off, length, gram)
+                low = np.repeat(np.arange(0, reach + 1, width), len(at))  # distances of starts from the anchor
+                at, doc = np.tile(at, reach // width + 1), np.tile(doc, reach // width + 1)
+                high = np.minimum(low + width - 1, reach)
+                first, last = np.maximum(off[doc], at - high), np.minimum(off[doc + 1] - length, at - low)
+                ok = first <= last
+                at, doc, low, high, first, last = (x[ok] for x in (at, doc, low, high, first, last))
+                core = span_hash(prefix, at - low, at - high + length)
+                bundle = mix(core + low.astype(np.uint64)).view(np.int64)
+                d, start = b.column(1).to_numpy()[lo:hi][doc], b.column(2).to_numpy()[lo:hi][doc] + first - off[doc]
+                seen: set[tuple] = set()
+                raw, new = [], []
+                size = last - first  # regions can overlap: the same part of the same document goes once
+                order = np.lexsort((size, start, d, bundle))
+                same = [x[order] for x in (size, start, d, bundle)]
+                order = order[np.r_[True, np.any([x[1:] != x[:-1] for x in same], axis=0)]] if len(order) else order
+                order = order[np.lexsort((start[order], d[order]))]
+                for x, y, k in zip(first[order].tolist(), (last[order] + length).tolist(), bundle[order].tolist(), strict=True):
+                    body = data[x:y].tobytes()
+                    raw.append(body)
+                    new.append((k, body) not in seen)
+                    seen.add((k, body))
+                yield pa.RecordBatch.from_arrays([pa.array(bundle[order], mask=~np.array(new, bool)), pa.array(d[order]), pa.array(start[order].astype(np.int32)), pa.array(raw, pa.binary())], ["bundle", "d", "s", "body"])
+
+    return regions.mapInArrow(cut, "bundle long, d long, s int, body binary")
 
 
 def strip(covered: DataFrame, carry: str) -> DataFrame:

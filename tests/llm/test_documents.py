@@ -148,9 +148,9 @@ def test_substring_dedup_of_unique_ids(spark, rows, monkeypatch):
     own = [r for r in rows[:-2] if r[1] is not None]
     df = spark.createDataFrame(own, "doc_id long, text string, lang string, source string, n_chars long")
     want = {i: v[1:4] for i, v in brute_repeats(own, 100).items()}
-    for oversize, hot in ((4 << 20, 64 << 20), (1000, 64 << 20), (4 << 20, 2000)):  # by transform, by hashes, by rows
-        monkeypatch.setattr(substring_dedup, "OVERSIZE", oversize)
-        monkeypatch.setattr(substring_dedup, "HOT", hot)
+    for most, widths in ((6 << 20, (27, 9, 1)), (3000, (27, 9, 1)), (0, (27, 9, 1)), (0, (1,))):  # whole bundles, some and all in parts, single windows
+        monkeypatch.setattr(substring_dedup, "DIVIDE", most)
+        monkeypatch.setattr(substring_dedup, "WIDTHS", widths)
         assert {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in substring_dedup.digests(df).collect()} == want
 
 
@@ -196,8 +196,6 @@ def test_transform_finds_repeated_windows(texts, length):
         want += [i] if w in seen else []
         seen.add(w)
     assert substring_dedup.repeated_windows(text, place, valid, length).tolist() == want
-    if len(text) > length:
-        assert substring_dedup.repeated_by_hash(text, place, valid, length, 3).tolist() == want
 
 
 def test_language_id(docs, rows, spark, empty):
