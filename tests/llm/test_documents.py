@@ -291,6 +291,33 @@ def test_licenses_in_usual_words(spark):
     assert [got[i] for i in range(len(cases))] == [(x, x != "") for x in cases.values()]
 
 
+def test_license_places_by_brute_force(spark, empty):
+    """Base places of whole documents, word by word."""
+    phrases = {("cc", "by"): "cc-by", ("general", "public", "license"): "gpl", ("all", "rights", "reserved"): "reserved"}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    docs = [tuple(r) for r in docs] + [(-1, "CC-BY cc by, All rights RESERVED;general public license" * 3), (-2, None), (-2, None), (-3, "")]
+    got = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    want = Counter()
+    for i, t in docs:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOW))
+        at = [(k, label) for p, label in phrases.items() for k in range(len(words)) if tuple(words[k : k + len(p)]) == p]
+        places = [k for k, _ in at]
+        want[i, len(words), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))] += 1
+    assert Counter((r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in got) == want
+    assert sum(k[2] * n for k, n in want.items()) > 9
+    assert all(set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1 for r in got)
+    assert licenses.scan(empty).collect() == []
+
+
+def test_encoders_agree_on_whole_documents(spark):
+    """The faster encoder gives the tokenizer's ids on every document of a table, and on awkward texts."""
+    slow = packing._encoders("byte_bpe_50k.json")[0]
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["a\u00a0b \u0085c\u200bd", "don't DON'T 12345 x²", "  \n\n \t x  ", "ſ ǆ ɐ", "e\u0301 é", "<|endoftext|> a"]
+    for text in texts:
+        assert packing.encode(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
 def test_mixing(docs, rows, spark):
     got = mixing.mix(docs).collect()
     assert len(got) == len(rows)

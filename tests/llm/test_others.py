@@ -112,6 +112,37 @@ def test_recall_at_the_threshold(spark):
     assert got.filter("n_links = 1").count() >= 0.97 * len(rows)
 
 
+@pytest.mark.parametrize("size", [51_282, 1_000_000])
+def test_recall_of_the_plans_of_large_tables(spark, size):
+    """Pairs just over the threshold among others, with the plan that a table of ``size`` vectors gets."""
+    r = np.random.default_rng(9)
+    rows = [(1000 + i, r.standard_normal(64).tolist(), 1) for i in range(200)]
+    for i in range(200):
+        a, b = r.standard_normal((2, 64))
+        a /= np.linalg.norm(a)
+        b -= (b @ a) * a
+        rows += [(2 * i, a.tolist(), 1), (2 * i + 1, (0.951 * a + np.sqrt(1 - 0.951**2) * b / np.linalg.norm(b)).tolist(), 1)]
+    classes = spark.createDataFrame(rows, "cid long, embedding array<double>, n long")
+    plan = embedding_dedup.calibrate(size)
+    assert plan.leads > 1
+    found = embedding_dedup.find_links(classes, plan).filter("other is null").groupBy("cid").agg(F.sum("n").alias("n")).collect()
+    linked = {x["cid"] for x in found if x["n"]}
+    assert linked <= set(range(400)) and len(linked) >= 0.97 * 400
+
+
+def test_pipeline_stages_take_empty_tables(spark):
+    import corpus_pipeline
+
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    junk = spark.createDataFrame([(1, "12 34", "en", "s", 5), (2, None, None, None, 0)], none.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, none, "")
+        assert got.count() == 0
+        if name != "packing":
+            assert got.columns == list(corpus_pipeline.COLUMNS)
+    assert corpus_pipeline.STAGES[0][1](spark, junk, "").count() == 0
+
+
 def test_pipeline(spark):
     """Every stage by brute force, each on what the one before kept."""
     import corpus_pipeline
