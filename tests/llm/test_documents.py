@@ -583,3 +583,27 @@ def test_attention_is_causal_and_learns():
     changed = rows[:1].copy()
     changed[:, 20:] = 5
     assert np.allclose(a[:, :20], net.log_probs(changed, target[:1])[:, :20], atol=1e-5)
+
+
+def test_words_are_read_from_ids(spark):
+    """After tokenizing, only ids are read: the words, their number and their equality come from them."""
+    m = attention_lm
+    texts = ["", "one two one", "a b 　x a b\t  a<|endoftext|>b", "Two  TWO two\n", "      ", "\U0001f600 1,000 it's"]
+    raw = [t.encode() for t in texts]
+    c = m.read_chunk(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    keys, per = m.words_of_ids(*m.sequences(c))
+    words = [w for t in texts for w in words_of(t)]
+    assert per.tolist() == [len(words_of(t)) for t in texts] and len(keys) == len(words)
+    assert len(set(zip(words, keys.tolist(), strict=True))) == len(set(words)) == len(set(keys.tolist()))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert "text" not in m.tokenize(df).columns
+
+
+def test_counts_of_frequent_words():
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 300_000, dtype=np.uint64)) << np.uint64(1)
+    keys[:3000] = (keys[:3000] & np.uint64((1 << 46) - 1)) | np.uint64(5 << 46)  # one slot of the first table
+    keys = np.append(np.unique(keys), np.uint64(0) if keys.min() else np.uint64(1))
+    n = np.arange(len(keys)) % 1000
+    table = attention_lm.Frequent(keys, n)
+    assert (table.counts(keys) == n).all() and (table.counts(keys + np.uint64(1)) == -1).all()
+    assert attention_lm.Frequent(keys[:0], n[:0]).counts(keys[:2]).tolist() == [-1, -1]
