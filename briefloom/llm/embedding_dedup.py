@@ -4,9 +4,11 @@ Vectors of unit length are projected on many random directions.  A pair at the
 threshold falls into the same query-centred window of a direction with a known
 probability, so the number of windows in which a pair collides separates near
 pairs from others; pairs that reach a count calibrated for recall are verified
-by their cosine.  To find colliding pairs without comparing all, a few leading
-directions are sorted into cells wider than a window: a query looks into its own
-cell, and a vector is stored in every cell that its windows reach.
+by their cosine.  To find colliding pairs without comparing all, leading
+directions compete in groups: a vector's cell is, group by group, the direction
+of its largest projection and the sign.  A vector is in one cell of every table,
+and tables are gone through one after another, so that at any time a vector is
+on disk once beside the table of all vectors.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +29,19 @@ from .tables import mark, release, stored
 
 COSINE = 0.95
 TILE = 2048
+#: Vectors that a cell should hold, and leading directions that can compete in a group.
+CELL, LEADS = 2048, (4, 8, 16, 32, 64)
 #: Projections are integers of this many steps a unit, so that all tasks agree on them.
 SCALE = 1 << 20
 
 
 @dataclass(frozen=True)
 class Plan:
-    """``tables`` sets of ``leads`` leading directions, ``counters`` counting ones."""
+    """``tables`` sets of ``groups`` of ``leads`` leading directions, ``counters`` counting ones."""
 
     cosine: float
     leads: int
+    groups: int
     tables: int
     counters: int
     least: int
@@ -44,25 +49,50 @@ class Plan:
 
     @property
     def steps(self) -> int:
-        """The window in steps of a quantized projection; cells are four windows wide."""
+        """The window in steps of a quantized projection."""
         return round(self.window * SCALE)
 
+    @property
+    def leading(self) -> int:
+        """The number of leading directions, which come before the counting ones."""
+        return self.tables * self.groups * self.leads
+
+
+@cache
+def chance(leads: int, cosine: float, tries: int = 20_000) -> float:
+    """A lower bound, by trial, of the probability that a pair has the largest of ``leads`` projections in common."""
+    r = np.random.default_rng([7, leads])
+    a, b = r.standard_normal((2, tries, leads))
+    b = cosine * a + math.sqrt(1 - cosine * cosine) * b
+    p = float((largest(a) == largest(b)).mean())
+    return p - 2 * math.sqrt(p * (1 - p) / tries)
+
+
+def largest(x: np.ndarray) -> np.ndarray:
+    """Place and sign of the number of largest magnitude along the last axis."""
+    at = np.abs(x).argmax(axis=-1)
+    return 2 * at + (np.take_along_axis(x, at[..., None], -1)[..., 0] < 0)
+
 
 def calibrate(n: int, cosine: float = COSINE, recall: float = 0.99, counters: int = 16) -> Plan:
     """Window, tables and count for ``n`` vectors, from the binomial law at the threshold.
 
-    More vectors get more leading directions, so that a cell's share of them
-    shrinks; the tables then make up for the pairs that one table misses.
+    More vectors get more leading directions, and groups of them, so that a cell
+    holds about ``CELL`` vectors; the tables then make up for the pairs that one
+    table misses.  Up to two cells' vectors are one cell.
     """
     window = 2 * math.sqrt(2 - 2 * cosine)
     p = math.erf(2 / math.sqrt(2))
-    leads = max(1, min(12, round(math.log(max(n, 500) / 400) / math.log(2.2))))
-    tables = max(1, math.ceil(math.log((1 - recall) / 2) / math.log(1 - p**leads)))
+    groups, leads, tables = 0, 1, 1
+    if n > 2 * CELL:
+        groups = max(1, math.ceil(math.log(n / CELL) / math.log(2 * LEADS[-1])))
+        leads = next((x for x in LEADS if (2 * x) ** groups >= n / CELL), LEADS[-1])
+        tables = math.ceil(math.log((1 - recall) / 2) / math.log(1 - chance(leads, cosine) ** groups))
     tail, least = 0.0, counters + 1
     while tail < 1 - (1 - recall) / 2 and least > 0:
         least -= 1
         tail += math.comb(counters, least) * p**least * (1 - p) ** (counters - least)
-    return Plan(cosine, leads, tables, counters, least, window)
+    return Plan(cosine, leads, groups, tables, counters, least, window)
 
 
 @cache
@@ -71,8 +101,8 @@ def directions(dim: int, n: int) -> np.ndarray:
 
 
 def project(plan: Plan, x: np.ndarray) -> np.ndarray:
-    """Quantized projections, one row per direction."""
-    r = directions(x.shape[1], plan.tables * plan.leads + plan.counters)
+    """Quantized projections, one row per counting direction."""
+    r = directions(x.shape[1], plan.leading + plan.counters)[:, plan.leading :]
     return np.ascontiguousarray(np.rint((x @ r).T * SCALE).astype(np.int32))
 
 
@@ -81,11 +111,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def spread(classes: DataFrame, plan: Plan, kind: type = np.float64) -> DataFrame:
-    """(cell, query, cid, n, tab, vec) rows: each class as query in its own cell of
-    every table, and as stored vector in each cell that its windows reach.  ``vec``
-    is the vector as given, in numbers of ``kind``, which must hold it exactly."""
-    g, cell = plan.leads, 4 * plan.steps
+def cells(plan: Plan, x: np.ndarray) -> np.ndarray:
+    """The cell of each vector in each table (vectors x tables)."""
+    r = directions(x.shape[1], plan.leading + plan.counters)[:, : plan.leading]
+    best = largest((x @ r).reshape(len(x), plan.tables, plan.groups, plan.leads)) if plan.groups else np.zeros((len(x), plan.tables, 0), np.int64)
+    return (best * (2 * plan.leads) ** np.arange(plan.groups)).sum(axis=2).astype(np.int64)
+
+
+def coded(classes: DataFrame, plan: Plan, kind: type = np.float64) -> DataFrame:
+    """(cid, n, cells, codes, vec): each class with the keys of its cells, one per table, and the
+    same as bytes.  ``vec`` is the vector as given, in numbers of ``kind``, which must hold it exactly."""
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,90 +128,53 @@ def spread(classes: DataFrame, plan: Plan, kind: type = np.float64) -> DataFrame
                 part = b.slice(lo, 512)
                 lists = part.column(2)
                 lengths = np.diff(lists.offsets.to_numpy())
+                flat, first = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths) - lengths
                 for dim in np.unique(lengths):
                     rows = np.flatnonzero(lengths == dim)
-                    given = np.array([lists[int(i)].as_py() for i in rows], np.float64)
-                    proj = project(plan, _unit(given)).T.astype(np.int64)
-                    at, cells, table, query = [], [], [], []
-                    for t in range(plan.tables):
-                        p = proj[:, t * g : (t + 1) * g]
-                        own, low, high = p // cell, (p - plan.steps) // cell, (p + plan.steps) // cell
-                        idx, grid = np.arange(len(rows)), np.zeros((len(rows), 0), np.int64)
-                        for j in range(g):  # a window is narrower than a cell: one cell or two
-                            two = high[idx, j] > low[idx, j]
-                            grid = np.concatenate([np.c_[grid, low[idx, j]], np.c_[grid[two], high[idx[two], j]]])
-                            idx = np.concatenate([idx, idx[two]])
-                        for i, c, q in ((np.arange(len(rows)), own, True), (idx, grid, False)):
-                            h = np.full(len(c), t * 1_000_003 + int(dim), np.int64)
-                            for j in range(g):
-                                h = h * 6_364_136_223_846_793_005 + c[:, j] + 1_442_695_040_888_963_407
-                            at.append(i)
-                            cells.append(h)
-                            table.append(np.full(len(c), t, np.int32))
-                            query.append(np.full(len(c), q))
-                    at = np.concatenate(at)
-                    take = pa.array(rows[at])
-                    raw = [r.tobytes() for r in given.astype(kind)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(np.concatenate(query)), part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(table)), pa.array([raw[i] for i in at], pa.binary())], ["cell", "query", "cid", "n", "tab", "vec"])
-
-    return classes.select("cid", "n", "embedding").mapInArrow(put, "cell long, query boolean, cid long, n long, tab int, vec binary")
-
-
-def _tile(plan: Plan, q: np.ndarray, d: np.ndarray, t: int, q_id: np.ndarray, d_id: np.ndarray, d_n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Linked weight of each query, and edges that span the links of a tile.
-
-    A pair belongs to the first table in which it collides, so no pair counts
-    twice.  Where few pairs pass the leading windows they are listed; where many
-    do, as in a group of near copies, the tests run over the block.
+                    given = flat[first[rows][:, None] + np.arange(dim)].astype(np.float64)
+                    table = np.arange(plan.tables) * 1_000_003 + int(dim)
+                    key = (cells(plan, _unit(given)) * 1_442_695_040_888_963_407 + table * 6_364_136_223_846_793_005).astype(np.int64)
+                    of = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * plan.tables), pa.array(key.reshape(-1)))
+                    raw = [[r.tobytes() for r in x] for x in (key, given.astype(kind))]
+                    take = pa.array(rows)
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), of, *(pa.array(x, pa.binary()) for x in raw)], ["cid", "n", "cells", "codes", "vec"])
+
+    return classes.select("cid", "n", "embedding").mapInArrow(put, "cid long, n long, cells array<long>, codes binary, vec binary")
+
+
+def _tile(plan: Plan, t: int, one: tuple, other: tuple | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, their linked weight, and edges that span the links of a tile of table ``t``: between
+    ``one`` and ``other`` (ids, weights, codes, vectors), or within ``one`` if other is None.
+
+    A pair belongs to the first table in which it shares a cell, so no pair counts twice.
     """
-    g = plan.leads
-    pq, pd = project(plan, q), project(plan, d)
+    q_id, q_n, q_code, q = one
+    d_id, d_n, d_code, d = other or one
+    pq = project(plan, q)
+    pd = project(plan, d) if other else pq
     ids, where = np.unique(np.concatenate([q_id, d_id]), return_inverse=True)
     wq, wd = where[: len(q)], where[len(q) :]
-    root, weight = np.arange(len(ids)), np.zeros(len(q), np.int64)
+    root, weight = np.arange(len(ids)), np.zeros(len(ids), np.int64)
     edges = []
-    w = plan.steps
-    counting = range(plan.tables * g, plan.tables * g + plan.counters)
     step = max(1, (1 << 20) // max(1, len(d)))
     for lo in range(0, len(q), step):
-        hi = min(len(q), lo + step)
-        near = lambda j, lo=lo, hi=hi: np.abs(pq[j, lo:hi, None] - pd[j][None, :]) <= w
-        hit = q_id[lo:hi, None] != d_id[None, :]
-        for j in range(t * g, (t + 1) * g):
-            hit &= near(j)
-        if np.count_nonzero(hit) > 0.03 * hit.size:
-            for u in range(t):
-                before = near(u * g)
-                for j in range(u * g + 1, (u + 1) * g):
-                    before &= near(j)
-                hit &= ~before
-            if not hit.any():
-                continue
-            count = np.zeros(hit.shape, np.int8)
-            for j in counting:
-                count += near(j)
-            hit &= count >= plan.least
-            hit &= q[lo:hi] @ d.T >= plan.cosine
-            weight[lo:hi] += (hit @ d_n.astype(np.float64)).astype(np.int64)
-            i, k = np.nonzero(hit & (root[wq[lo:hi], None] != root[wd][None, :]))
-            i += lo
-        else:
-            i, k = np.nonzero(hit)
-            i += lo
-            for u in range(t):
-                ok = np.zeros(len(i), bool)
-                for j in range(u * g, (u + 1) * g):
-                    ok |= np.abs(pq[j][i] - pd[j][k]) > w
-                i, k = i[ok], k[ok]
-            count = np.zeros(len(i), np.int8)
-            for j in counting:
-                count += np.abs(pq[j][i] - pd[j][k]) <= w
-            ok = count >= plan.least
+        hi, from_ = min(len(q), lo + step), 0 if other else lo
+        hit = q[lo:hi] @ d[from_:].T >= plan.cosine
+        hit &= q_id[lo:hi, None] != d_id[None, from_:]
+        if not other:
+            hit &= np.arange(lo, hi)[:, None] < np.arange(from_, len(d))[None, :]
+        i, k = np.nonzero(hit)
+        i, k = i + lo, k + from_
+        for u in range(t):
+            ok = q_code[i, u] != d_code[k, u]
             i, k = i[ok], k[ok]
-            ok = np.einsum("ij,ij->i", q[i], d[k]) >= plan.cosine
-            i, k = i[ok], k[ok]
-            weight += np.bincount(i, weights=d_n[k], minlength=len(q)).astype(np.int64)
-        x, y = wq[i], wd[k]
+        count = np.zeros(len(i), np.int8)
+        for j in range(plan.counters):
+            count += np.abs(pq[j][i] - pd[j][k]) <= plan.steps
+        ok = count >= plan.least
+        x, y = wq[i[ok]], wd[k[ok]]
+        weight += np.bincount(x, weights=d_n[k[ok]], minlength=len(ids)).astype(np.int64)
+        weight += np.bincount(y, weights=q_n[i[ok]], minlength=len(ids)).astype(np.int64)
         while len(x):
             x, y = root[x], root[y]
             ok = x != y
@@ -191,62 +189,84 @@ def _tile(plan: Plan, q: np.ndarray, d: np.ndarray, t: int, q_id: np.ndarray, d_
                 parent = parent[parent]
             root = parent[root]
     e = np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
-    return weight, e[:, 0], e[:, 1]
+    return ids[weight > 0], weight[weight > 0], e[:, 0], e[:, 1]
 
 
-def find_links(classes: DataFrame, plan: Plan, kind: type = np.float64) -> DataFrame:
-    """(cid, other, n): per tile, the linked vectors of a query (other null), and edges.
+def _links_of_table(rows: DataFrame, plan: Plan, t: int, kind: type) -> DataFrame:
+    """``find_links`` of one table, from ``coded`` rows.
 
-    Cells are cut into tiles of about 2048 queries by 2048 vectors, so that a cell
-    with a third of all vectors is worked on by many tasks.
+    Cells are cut into slices of about ``TILE`` vectors, and pairs of slices are
+    tiles, so that a cell with a third of all vectors is worked on by many tasks.
     """
-    rows = stored(spread(classes, plan, kind), "cells")
-    many = rows.groupBy("cell").agg(F.ceil(F.sum(F.col("query").cast("int")) / TILE).alias("kq"), F.ceil(F.sum((~F.col("query")).cast("int")) / TILE).alias("kd"), F.count("*").alias("m"))
-    many = many.filter("kq > 0 and m > 1").withColumnRenamed("cell", "m_cell")
-    rows = rows.join(many, F.col("cell") == F.col("m_cell"))
-    own = F.pmod(F.xxhash64("cid"), F.when(F.col("query"), F.col("kq")).otherwise(F.col("kd")))
-    rows = rows.withColumn("own", own).withColumn("across", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("query"), F.col("kd")).otherwise(F.col("kq")) - 1)))
-    rows = rows.select("cell", F.when(F.col("query"), F.col("own")).otherwise(F.col("across")).alias("i"), F.when(F.col("query"), F.col("across")).otherwise(F.col("own")).alias("j"), "query", "cid", "n", "tab", "vec")
+    cell = F.col("cells")[t]
+    rows = rows.select(cell.alias("cell"), "cid", "n", "codes", "vec")
+    # at most a row for each TILE vectors
+    large = rows.groupBy(F.col("cell").alias("m_cell")).agg(F.ceil(F.count("*") / TILE).alias("k")).filter("k > 1")
+    rows = rows.join(F.broadcast(large), F.col("cell") == F.col("m_cell"), "left").withColumn("k", F.coalesce("k", F.lit(1).cast("long")))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("k"))).withColumn("across", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+    rows = rows.select("cell", F.least("own", "across").alias("i"), F.greatest("own", "across").alias("j"), (F.col("own") > F.col("across")).alias("second"), "cid", "n", "codes", "vec")
 
     def tile(table: pa.Table) -> pa.Table:
-        query = table.column("query").to_numpy()
-        cid, n = table.column("cid").to_numpy(), table.column("n").to_numpy()
-        if query.all() or not query.any():
-            w, a, b, keep = np.zeros(0, np.int64), cid[:0], cid[:0], np.zeros(0, bool)
-            q_id = cid[:0]
+        table = table.combine_chunks()
+        parts = []
+        second = table.column("second").to_numpy()
+        within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        for side in (second == False,) if within else (~second, second):  # noqa: E712
+            x = table.filter(pa.array(side))
+            vec, codes = (np.frombuffer(b"".join(x.column(c).to_pylist()), of).reshape(x.num_rows, -1) if x.num_rows else np.zeros((0, 1), of) for c, of in (("vec", kind), ("codes", np.int64)))
+            parts.append((x.column("cid").to_numpy(), x.column("n").to_numpy(), codes, vec.astype(np.float64)))
+        if min(len(x[0]) for x in parts) < (2 if within else 1):
+            who = w = a = b = np.zeros(0, np.int64)
         else:
-            vec = _unit(np.frombuffer(b"".join(table.column("vec").to_pylist()), kind).reshape(len(cid), -1).astype(np.float64))
-            q_id = cid[query]
-            w, a, b = _tile(plan, vec[query], vec[~query], table.column("tab")[0].as_py(), q_id, cid[~query], n[~query])
-            keep = w > 0
-        return pa.table({"cid": pa.array(np.concatenate([q_id[keep], a])), "other": pa.concat_arrays([pa.nulls(int(keep.sum()), pa.int64()), pa.array(b)]), "n": pa.array(np.concatenate([w[keep], np.zeros(len(a), np.int64)]))})
+            parts = [(*x[:3], _unit(x[3])) for x in parts]
+            who, w, a, b = _tile(plan, t, parts[0], None if within else parts[1])
+        none = np.zeros(len(a), np.int64)
+        return pa.table({"cid": pa.array(np.concatenate([who, a])), "other": pa.concat_arrays([pa.nulls(len(who), pa.int64()), pa.array(b)]), "n": pa.array(np.concatenate([w, none]))})
 
     return rows.groupBy("cell", "i", "j").applyInArrow(tile, "cid long, other long, n long")
 
 
+def find_links(classes: DataFrame, plan: Plan, kind: type = np.float64) -> DataFrame:
+    """(cid, other, n): per tile, the linked weight of a class (other null), and edges.
+
+    Each table's vectors are dealt to its cells after the files of the table before are gone.
+    """
+    rows = stored(coded(classes, plan, kind), "vectors")
+    found = []
+    for t in range(plan.tables):
+        found.append(stored(_links_of_table(rows, plan, t, kind), "links"))
+        # Spark removes the files of a shuffle when the driver's JVM finds that nothing refers to it
+        classes.sparkSession.sparkContext._jvm.System.gc()
+    return reduce(DataFrame.union, found)
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = 0.99) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
 
     Vectors are linked if their cosine in double precision is at least ``cosine``
     and the projections found them; ``calibrate`` sets the probability that a pair
     at the threshold is found to about ``recall``, closer pairs are found more
-    often.  Equal vectors form a class first and are all linked.  Vectors that are
-    null, empty, zero or hold a null or non-finite component, and vectors of
-    different lengths, are not linked.  Rows that repeat a vec_id share a node.
+    often.  Equal vectors, by two 64-bit hashes, form a class first and are all
+    linked.  Vectors that are null, empty, zero or hold a null or non-finite
+    component, and vectors of different lengths, are not linked.  Rows that repeat
+    a vec_id share a node.
     """
     x = F.col("embedding")
     bad = lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
     good = F.coalesce((F.size(x) > 0) & ~F.exists(x, bad) & F.exists(x, lambda v: v != 0), F.lit(False)) & F.col("vec_id").isNotNull()
-    rows = vectors.select("vec_id", F.when(good, F.transform(x, lambda v: v.cast("double"))).alias("embedding"))
-    classes = stored(rows.filter("embedding is not null").groupBy("embedding").agg(F.min("vec_id").alias("cid"), F.count("*").alias("n")), "vectors")
+    rows = vectors.select("vec_id", F.when(good, x).alias("embedding"))
+    rows = rows.select("vec_id", "embedding", *(F.when(F.col("embedding").isNotNull(), F.xxhash64(F.lit(i), "embedding")).alias(f"h{i}") for i in (1, 2)))
+    named = rows.filter("embedding is not null")
+    keys = named.groupBy("h1", "h2").agg(F.min("vec_id").alias("cid"), F.count("*").alias("n"))
+    classes = named.groupBy("h1", "h2").agg(F.min("vec_id").alias("cid"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
     since = mark()
     kind = np.float32 if vectors.schema["embedding"].dataType.elementType == T.FloatType() else np.float64
-    found = stored(find_links(classes, calibrate(classes.count(), cosine, recall), kind), "links")
+    found = stored(find_links(classes, calibrate(named.count(), cosine, recall), kind), "links")
     release(since, found)
     comp = connected_components(found.filter("other is not null").select(F.col("cid").alias("a"), F.col("other").alias("b")))
     other = found.filter("other is null").groupBy(F.col("cid").alias("l_id")).agg(F.sum("n").alias("n_other"))
-    named = classes.join(comp, F.col("cid") == F.col("node"), "left").join(other, F.col("cid") == F.col("l_id"), "left")
-    named = named.select(F.col("embedding").alias("c_vec"), (F.col("n") - 1 + F.coalesce("n_other", F.lit(0))).alias("c_links"), F.coalesce("component", "cid").alias("component"))
-    out = rows.join(named, F.col("embedding") == F.col("c_vec"), "left")
+    named = keys.join(comp, F.col("cid") == F.col("node"), "left").join(other, F.col("cid") == F.col("l_id"), "left")
+    named = named.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), (F.col("n") - 1 + F.coalesce("n_other", F.lit(0))).alias("c_links"), F.coalesce("component", "cid").alias("component"))
+    out = rows.drop("embedding").join(named, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
     label = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("c_links", F.lit(0)).cast("long").alias("n_links"), label.alias("component_id"), F.coalesce(F.col("vec_id") == label, F.lit(True)).alias("kept"))

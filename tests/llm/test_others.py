@@ -190,3 +190,23 @@ def test_pipeline_is_registered():
     import __spark_entry__ as driver
 
     assert {f"op{n}_" for n in range(1, 11)} <= {k.split("_")[0] + "_" for k in driver.queries()} and "pipeline" in driver.queries()
+
+
+def test_vectors_are_stored_once_and_pairs_count_once(spark, monkeypatch):
+    """No table holds copies of vectors (links take two rows and an edge a pair), and a pair that many tables find is one link."""
+    sizes, keep = [], embedding_dedup.stored
+
+    def stored(df, name):
+        out = keep(df, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "stored", stored)
+    r = np.random.default_rng(12)
+    x = r.standard_normal((100, 32))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([x, x + r.standard_normal(x.shape) * 0.01]))]
+    classes = spark.createDataFrame(rows, "cid long, embedding array<double>, n long")
+    found = embedding_dedup.find_links(classes, embedding_dedup.calibrate(1_000_000))
+    assert found.count() and max(sizes) <= 1.5 * len(rows)
+    links = {y["cid"]: y["n"] for y in found.filter("other is null").groupBy("cid").agg(F.sum("n").alias("n")).collect()}
+    assert links == dict.fromkeys(range(200), 1)
