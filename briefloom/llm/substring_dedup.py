@@ -199,26 +199,27 @@ def resolve(rows: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of a byte string sorted by ``depth`` bytes at least, by doubling ranks: by 8,
-    16, 32, ... bytes, and so by the first power of two that reaches ``depth``."""
-    n, full = len(text), 8
-    while full < depth:
-        full *= 2
-    padded = np.concatenate([text, np.full(full + 8, 255, np.uint8)]).astype(np.uint64)
-    word = np.zeros(n + full, np.uint64)
+    """Suffixes of a byte string sorted by ``depth`` bytes at least: by 8 bytes, and then by
+    the ranks of two or, where three fit a number, three parts sorted before."""
+    n = len(text)
+    padded = np.concatenate([text, np.full(8, 255, np.uint8)]).astype(np.uint64)
+    key = np.zeros(n, np.uint64)
     for j in range(8):
-        word = (word << np.uint64(8)) | padded[j : j + n + full]
-    have, order = 8, None
-    key = word
+        key = (key << np.uint64(8)) | padded[j : j + n]
+    have, parts = 8, 3 if n < 1 << 21 else 2
     while True:
         order = np.argsort(key)
+        if have >= depth:
+            return order
         step = key[order]
-        rank = np.empty(len(key), np.int64)
-        rank[order] = np.cumsum(np.r_[0, step[1:] != step[:-1]])
-        if have == full:
-            return order[order < n]
-        second = np.concatenate([rank[have:], np.full(have, rank[-1])])
-        key, have = (rank << 32) | second, have * 2
+        rank = np.empty(n, np.uint64)
+        rank[order] = np.cumsum(np.r_[False, step[1:] != step[:-1]], dtype=np.uint64)
+        # beyond the end all bytes are 255: the largest rank there is
+        longer = np.concatenate([rank, np.full((parts - 1) * have, rank.max(initial=0) + np.uint64(1), np.uint64)])
+        key = rank
+        for j in range(1, parts):
+            key = (key << np.uint64(64 // parts)) | longer[j * have : j * have + n]
+        have *= parts
 
 
 def window_classes(order: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
@@ -226,28 +227,38 @@ def window_classes(order: np.ndarray, text: np.ndarray, length: int) -> np.ndarr
 
     ``lcp[LF(j)] = 1 + min(lcp[i + 1 .. j])``, i being the place before j with the
     same byte in the transform.  Taken by increasing value: place LF(j) becomes a
-    boundary at the first value with a boundary in (i, j].
+    boundary at the first value with a boundary in (i, j].  The last boundary up to
+    j decides that, so at each value only the classes that begin at the boundaries
+    of the value before are looked at.
     """
     n = len(text)
     bwt = text[order - 1]
     by_byte = np.argsort(bwt, kind="stable")
     same = np.r_[False, bwt[by_byte][1:] == bwt[by_byte][:-1]]
     boundary = ~same  # value 0: another first byte
-    to = np.flatnonzero(same).astype(np.int32)  # LF(j) of the undecided
-    j, i = by_byte[to].astype(np.int32), by_byte[to - 1].astype(np.int32)
-    fresh = boundary.copy()
-    for value in range(1, length):
-        if not len(to) or not fresh.any():
+    after = np.empty(n, np.int32)  # LF
+    after[by_byte] = np.arange(n, dtype=np.int32)
+    before = np.full(n, n, np.int32)  # i, or n if there is none
+    before[by_byte[1:][same[1:]]] = by_byte[:-1][same[1:]]
+    fresh = np.flatnonzero(boundary).astype(np.int32)
+    for _ in range(1, length):
+        if not len(fresh):
             break
-        seen = np.cumsum(fresh, dtype=np.int32)
-        hit = seen.take(j) > seen.take(i)
-        fresh = np.zeros(n, bool)
-        fresh[to[hit]] = True
-        fresh &= ~boundary
-        boundary |= fresh
-        if value < 16 or value % 8 == 0:  # decided places stay decided; leave them out now and then
-            keep = ~boundary[to]
-            to, j, i = to[keep], j[keep], i[keep]
+        starts = np.flatnonzero(boundary).astype(np.int32)
+        if 20 * len(fresh) > len(starts):
+            new = np.zeros(n, bool)
+            new[fresh] = True
+            at = np.flatnonzero(new[starts])
+        else:
+            at = np.searchsorted(starts, fresh)
+        size = np.append(starts[1:], np.int32(n))[at] - fresh
+        total = np.cumsum(size, dtype=np.int32)
+        head = np.repeat(fresh, size)
+        j = np.repeat(fresh - total + size, size)
+        j += np.arange(len(j), dtype=np.int32)
+        to = after[j[before[j] < head]]
+        fresh = np.sort(to[~boundary[to]])
+        boundary[fresh] = True
     return boundary
 
 

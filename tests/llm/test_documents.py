@@ -607,3 +607,23 @@ def test_counts_of_frequent_words():
     table = attention_lm.Frequent(keys, n)
     assert (table.counts(keys) == n).all() and (table.counts(keys + np.uint64(1)) == -1).all()
     assert attention_lm.Frequent(keys[:0], n[:0]).counts(keys[:2]).tolist() == [-1, -1]
+
+
+def test_suffixes_are_sorted_four_times(monkeypatch):
+    """Blocks of a few megabytes take four sorts for 100 bytes, and classes are those of equal windows."""
+    r = np.random.default_rng(8)
+    parts = [r.integers(97, 100, 150, dtype=np.uint8).tobytes() for _ in range(12)]
+    text = np.frombuffer(b"".join(parts[i][: r.integers(100, 151)] + b"\xff" for i in r.integers(0, 12, 40)), np.uint8)
+    sorts, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: (sorts.append(1), sort(*a, **k))[1])
+    order = substring_dedup.suffix_order(text, 100)
+    monkeypatch.undo()
+    assert len(sorts) <= 4 and sorted(order.tolist()) == list(range(len(text)))
+    raw = text.tobytes()
+    got = np.cumsum(substring_dedup.window_classes(order, text, 100))
+    classes = {}
+    for place, i in zip(got.tolist(), order.tolist(), strict=True):
+        if b"\xff" not in raw[i : i + 100] and i + 100 <= len(raw):
+            classes.setdefault(raw[i : i + 100], set()).add(place)
+    assert len(classes) > 100 and all(len(x) == 1 for x in classes.values())
+    assert len(set.union(*classes.values())) == len(classes)
