@@ -36,6 +36,8 @@ from .tables import mark, release, stored
 
 LENGTH, GRAM = 100, 20
 BLOCK = 512
+#: Places whose hashes are compared together; they fit the cache.
+CACHED = 1 << 14
 #: Bytes of bundles that are transformed together; bytes of contexts from which a bundle is
 #: divided; and the window starts that the parts have, division by division.
 TOGETHER, DIVIDE, WIDTHS = 1 << 20, 6 << 20, (27, 9, 1)
@@ -64,24 +66,30 @@ def anchor_places(prefix: np.ndarray, off: np.ndarray, length: int, gram: int) -
     none = np.zeros(0, np.int64)
     if n < w:
         return none, none.view(np.uint64), none
-    h = mix((prefix[gram:] - prefix[:-gram]) * powers(len(prefix))[1][:n])
-    # least hash, then last place, of each run of w grams, by doubling
-    low = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(n - 1, -1, -1, dtype=np.uint64)
-    m, size = low, 1
-    while size * 2 <= w:
-        m = np.minimum(m[:-size], m[size:])
-        size *= 2
-    if size < w:
-        m = np.minimum(m[: len(m) - (w - size)], m[w - size :])
+    inverse, count = powers(len(prefix))[1], n - w + 1
+    m = np.empty(count, np.uint32)
+    for lo in range(0, count, CACHED):  # least hash, then last place, of each run of w grams, by doubling
+        end = min(count, lo + CACHED) + w - 1
+        low = mix((prefix[lo + gram : end + gram] - prefix[lo:end]) * inverse[lo:end])
+        low &= np.uint64(0xFFFFFFFF00000000)
+        low |= np.arange(n - 1 - lo, n - 1 - end, -1, dtype=np.uint64)
+        size = 1
+        while size * 2 <= w:
+            low = np.minimum(low[:-size], low[size:])
+            size *= 2
+        if size < w:
+            low = np.minimum(low[: len(low) - (w - size)], low[w - size :])
+        m[lo : lo + CACHED] = low.astype(np.uint32)
     size = np.diff(off)
     first = np.zeros(len(m) + 1, np.int32)  # a window must not cross documents
     long = np.flatnonzero(size >= length)
     np.add.at(first, off[long], 1)
     np.add.at(first, off[long] + size[long] - length + 1, -1)
     inside = np.cumsum(first[:-1]) > 0
-    got = m[inside] & np.uint64(0xFFFFFFFF)
+    got = m[inside]
     at = n - 1 - np.unique(got[np.r_[True, got[1:] != got[:-1]]] if len(got) else got).astype(np.int64)[::-1]
-    return at, h[at], np.searchsorted(off, at, side="right") - 1
+    h = mix((prefix[at + gram] - prefix[at]) * inverse[at])
+    return at, h, np.searchsorted(off, at, side="right") - 1
 
 
 def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

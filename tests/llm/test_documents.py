@@ -627,3 +627,16 @@ def test_suffixes_are_sorted_four_times(monkeypatch):
             classes.setdefault(raw[i : i + 100], set()).add(place)
     assert len(classes) > 100 and all(len(x) == 1 for x in classes.values())
     assert len(set.union(*classes.values())) == len(classes)
+
+
+def test_anchors_in_parts(monkeypatch):
+    """Anchors do not depend on how many places are compared at a time, and no more are."""
+    r = np.random.default_rng(4)
+    off = np.array([0, 40, 3000, 3099, 8000])
+    prefix = substring_dedup.prefix_hash(r.integers(97, 101, off[-1], dtype=np.uint8))
+    want = substring_dedup.anchor_places(prefix, off, 100, 20)
+    sizes, least = [], np.minimum
+    monkeypatch.setattr(substring_dedup, "CACHED", 64)
+    monkeypatch.setattr(np, "minimum", lambda a, b: (sizes.append(np.size(a)), least(a, b))[1])
+    got = substring_dedup.anchor_places(prefix, off, 100, 20)
+    assert max(sizes) <= 64 + 80 and all((x == y).all() for x, y in zip(got, want, strict=True))
