@@ -640,3 +640,11 @@ def test_anchors_in_parts(monkeypatch):
     monkeypatch.setattr(np, "minimum", lambda a, b: (sizes.append(np.size(a)), least(a, b))[1])
     got = substring_dedup.anchor_places(prefix, off, 100, 20)
     assert max(sizes) <= 64 + 80 and all((x == y).all() for x, y in zip(got, want, strict=True))
+
+
+def test_classes_are_as_many_as_before_the_cut():
+    """Attention tells 64 classes apart, 48 of them ids of their own, from up to 32 ids."""
+    m = attention_lm
+    cls = m.Vocabulary.of(np.arange(m.VOCABULARY)[::-1].copy()).cls
+    sizes = np.bincount(cls, minlength=m.CLASSES)
+    assert len(sizes) >= 64 and (sizes == 1).sum() >= 48 and sizes.min() > 0 and m.WINDOW >= 32
