@@ -213,7 +213,7 @@ def count_tokens(tokens: DataFrame) -> DataFrame:
 def stored_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids and their number per document, from a binary column of 16-bit numbers."""
     raw, off = buffers(column)
-    return raw[off[0] : off[-1]].view(np.uint16).astype(np.int64), np.diff(off) // 2
+    return raw[off[0] : off[-1]].view(np.uint16), np.diff(off) // 2
 
 
 def windows(ids: np.ndarray, lengths: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -221,12 +221,13 @@ def windows(ids: np.ndarray, lengths: np.ndarray, stride: int = STRIDE) -> tuple
     n = np.maximum(1, -(-(lengths - (WINDOW - stride)) // stride))
     doc = np.repeat(np.arange(len(lengths)), n)
     start = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * stride
-    at = start[:, None] + np.arange(WINDOW)
-    size = lengths[doc][:, None]
-    head = (np.cumsum(lengths) - lengths)[doc][:, None]
-    target = ids[np.minimum(head + at, len(ids) - 1)]
-    given = np.where(at > 0, ids[np.maximum(0, np.minimum(head + at - 1, len(ids) - 1))], END)
-    scored = (at < size) & ((at >= start[:, None] + WINDOW - stride) | (start[:, None] == 0))
+    head = (np.cumsum(lengths) - lengths)[doc] + start
+    around = np.lib.stride_tricks.sliding_window_view(np.pad(ids, (1, WINDOW)), WINDOW)  # of any place, from the id before it
+    given, target = around[head], around[head + 1]
+    given[start == 0, 0] = END
+    at = np.arange(WINDOW)
+    scored = at < (lengths[doc] - start)[:, None]
+    scored[start > 0, : WINDOW - stride] = False
     return given, target, scored, doc
 
 
@@ -251,8 +252,26 @@ def exp_and_sum(x: np.ndarray, again: Callable[[], np.ndarray], keep: np.ndarray
     return x, total, top
 
 
+def with_one(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The rows of x + y, each with a 1 after it."""
+    out = np.empty((*x.shape[:-1], x.shape[-1] + 1), x.dtype)
+    out[..., -1] = 1
+    np.add(x, y, out=out[..., :-1])
+    return out.reshape(-1, out.shape[-1])
+
+
+def summed_products(x: np.ndarray, y: np.ndarray, rows: int = 8 * WINDOW) -> np.ndarray:
+    """x.T @ y from ``rows`` rows at a time, in which long thin matrices are multiplied faster."""
+    n = len(x) // rows * rows
+    out = x[n:].T @ y[n:]
+    out += (x[:n].reshape(-1, rows, x.shape[1]).transpose(0, 2, 1) @ y[:n].reshape(-1, rows, y.shape[1])).sum(axis=0)
+    return out
+
+
 #: 1 at the places of a window up to each place, 0 at those after it.
 EARLIER = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+#: The places of an input row's pairs of numbers in the flat input table.
+PAIRS = np.arange(INPUTS * WIDTH // 2).reshape(INPUTS, WIDTH // 2)
 
 
 @dataclass
@@ -266,14 +285,14 @@ class Vocabulary:
     @staticmethod
     def of(counts: np.ndarray) -> Vocabulary:
         order = np.argsort(-counts, kind="stable")
-        cls = np.empty(VOCABULARY, np.int64)
+        cls = np.empty(VOCABULARY, np.int16)
         cls[order[:OWN_CLASS]] = np.arange(OWN_CLASS)
         rest = order[OWN_CLASS:]
         mass = np.cumsum(counts[rest] + 0.5)
-        cls[rest] = OWN_CLASS + np.minimum(CLASSES - OWN_CLASS - 1, (mass / mass[-1] * (CLASSES - OWN_CLASS)).astype(np.int64))
+        cls[rest] = OWN_CLASS + np.minimum(CLASSES - OWN_CLASS - 1, (mass / mass[-1] * (CLASSES - OWN_CLASS)).astype(np.int16))
         w = counts + 0.5
         share = np.log(w / np.bincount(cls, weights=w, minlength=CLASSES)[cls])
-        row = OWN_INPUT + np.arange(VOCABULARY) % (INPUTS - OWN_INPUT)
+        row = (OWN_INPUT + np.arange(VOCABULARY) % (INPUTS - OWN_INPUT)).astype(np.int16)
         row[order[:OWN_INPUT]] = np.arange(OWN_INPUT)
         return Vocabulary(cls, share, row)
 
@@ -291,66 +310,74 @@ class Network:
         return Network({"emb": g(INPUTS, WIDTH), "pos": g(WINDOW, WIDTH), "qkv": g(WIDTH, 3 * WIDTH) * 2, "mix": g(WIDTH, WIDTH) * 2, "out": g(WIDTH, CLASSES), "bias": np.log(prior).astype(dtype)})
 
     def projection(self) -> np.ndarray:
-        """The weights of queries, keys and values, with the attention's scale in the queries."""
+        """The weights of queries, keys and values, with the attention's scale in the queries
+        and ``mix`` in the values, so that the attention's output is mixed already."""
         w = self.p["qkv"].copy()
         w[:, :WIDTH] *= WIDTH**-0.5
+        w[:, 2 * WIDTH :] = w[:, 2 * WIDTH :] @ self.p["mix"]
         return w
 
+    def classes(self) -> np.ndarray:
+        """The weights of the logits, and in the last row the bias."""
+        return np.concatenate([self.p["out"], self.p["bias"][None]])
+
     @staticmethod
-    def attend(qkv: np.ndarray) -> tuple:
-        """Queries, keys, values, the attention's weights, and its output."""
-        q, k, v = qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
+    def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The attention's weights before division by their sums, what to multiply them by for
+        that, and the output, from queries (of a window's last places) and all keys and values."""
         columns = k.transpose(0, 2, 1).copy()  # products of matrices in rows are faster
         products = lambda: q @ columns
-        s, total, _ = exp_and_sum(products(), products, EARLIER)
-        s *= (1 / total)[..., None]
-        return q, k, v, s, s @ v
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """What an input row, and what a place, adds to queries, keys and values, and to the
-        logits of classes; and what the attention's output adds to these."""
+        s, total, _ = exp_and_sum(products(), products, EARLIER[WINDOW - q.shape[1] :])
+        part = (1 / total)[..., None]
+        o = s @ v
+        o *= part  # a row of the output is half as long as one of the weights
+        return s, part, o
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What an input row, and what a place, adds to queries, keys, values with a 1 after
+        them and the residual with a 0; and ``classes``."""
         p, w = self.p, self.projection()
-        return p["emb"] @ w, p["pos"] @ w, p["emb"] @ p["out"], p["pos"] @ p["out"] + p["bias"], p["mix"] @ p["out"]
-
-    def log_probs(self, rows: np.ndarray, cls: np.ndarray, scored: np.ndarray | None = None, tables: tuple | None = None) -> np.ndarray:
-        """Natural log of the probability of each target's class, or flat of the ``scored`` targets'."""
-        row_qkv, place_qkv, row_out, place_out, mix = tables or self.tables()
-        qkv = row_qkv.take(rows, axis=0)
-        qkv += place_qkv
-        o = self.attend(qkv)[-1].reshape(-1, WIDTH)
-        at = np.arange(rows.size) if scored is None else np.flatnonzero(scored)
-        rows, target, place, o = rows.reshape(-1)[at], cls.reshape(-1)[at], at % WINDOW, o[at]
-
-        def logits() -> np.ndarray:
-            z = o @ mix
-            z += row_out.take(rows, axis=0)
-            z += place_out.take(place, axis=0)
-            return z
-
+        none = np.zeros((WIDTH, 1), w.dtype)
+        w = np.concatenate([w, none, np.eye(WIDTH, dtype=w.dtype), none], axis=1)
+        of_place = p["pos"] @ w
+        of_place[:, 3 * WIDTH] = 1
+        return p["emb"] @ w, of_place, self.classes()
+
+    def log_probs(self, rows: np.ndarray, cls: np.ndarray, scored: np.ndarray | None = None, tables: tuple | None = None, since: int = 0) -> np.ndarray:
+        """Natural log of the probability of each target's class, or flat of the ``scored``
+        targets'; ``cls`` and ``scored`` are those of the places from ``since`` on."""
+        of_row, of_place, classes = tables or self.tables()
+        x = of_row.take(rows, axis=0)
+        x += of_place
+        o = self.attend(x[:, since:, :WIDTH], x[..., WIDTH : 2 * WIDTH], x[..., 2 * WIDTH : 3 * WIDTH + 1])[-1]
+        o += x[:, since:, 3 * WIDTH + 1 :]
+        h, target = o.reshape(-1, WIDTH + 1), cls.reshape(-1)
+        at = np.arange(cls.size) if scored is None else np.flatnonzero(scored)
+        some = len(at) < 0.9 * cls.size  # picking nearly all would cost more than it saves
+        if some:
+            h, target = h.take(at, axis=0), target[at]
+        logits = lambda: h @ classes
         z = logits()
         t = z.reshape(-1)[np.arange(len(z)) * CLASSES + target]
         _, total, top = exp_and_sum(z, logits)
         t -= top
         t -= np.log(total)
-        return t if scored is not None else t.reshape(cls.shape)
-
-    def gradients(self, rows: np.ndarray, cls: np.ndarray, scored: np.ndarray, part: int = PART) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean loss of the scored targets and its gradients, from ``part`` windows at a time."""
-        loss, flat = self.flat_gradients(rows, cls, scored, part)
-        return loss, self.views(flat)
+        if scored is None:
+            return t.reshape(cls.shape)
+        return t if some else t[at]
 
-    def flat_gradients(self, rows: np.ndarray, cls: np.ndarray, scored: np.ndarray, part: int = PART) -> tuple[float, np.ndarray]:
-        """``gradients``, in the order of ``flat``."""
+    def gradients(self, rows: np.ndarray, cls: np.ndarray, scored: np.ndarray, part: int = PART, g: dict[str, np.ndarray] | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean loss of the scored targets and its gradients (in ``g``, if given), from ``part`` windows at a time."""
         n, loss, dx = max(1, int(scored.sum())), 0.0, np.empty((*rows.shape, WIDTH), self.p["emb"].dtype)
-        flat = np.zeros(sum(x.size for x in self.p.values()), dx.dtype)
-        g = self.views(flat)
+        g = g or {k: np.empty_like(x) for k, x in self.p.items()}
+        for x in g.values():
+            x.fill(0)
         for lo in range(0, len(rows), part):
             s = slice(lo, lo + part)
             loss += self._part(rows[s], cls[s].reshape(-1), scored[s].reshape(-1), n, g, dx[s])
-        inputs = len(g["emb"])  # one number of all vectors after another
-        cell = (rows.reshape(-1) + np.arange(WIDTH)[:, None] * inputs).reshape(-1)
-        g["emb"][:] = np.bincount(cell, dx.reshape(-1, WIDTH).T.reshape(-1), g["emb"].size).reshape(WIDTH, inputs).T
-        return loss / n, flat
+        two = np.result_type(dx, np.complex64)  # two numbers are added at a time
+        np.add.at(g["emb"].reshape(-1).view(two), PAIRS.take(rows, axis=0).reshape(-1), dx.reshape(-1).view(two))
+        return loss / n, g
 
     def _part(self, rows: np.ndarray, cls: np.ndarray, w: np.ndarray, n: int, g: dict[str, np.ndarray], dx: np.ndarray) -> float:
         """Summed loss; adds to ``g`` and fills ``dx``, the gradient of what goes into the block."""
@@ -358,38 +385,38 @@ class Network:
         x = p["emb"].take(rows, axis=0)
         x += p["pos"]
         flat_x = x.reshape(-1, WIDTH)
-        q, k, v, s, o = self.attend((flat_x @ weights).reshape(*rows.shape, 3 * WIDTH))
-        flat_o = o.reshape(-1, WIDTH)
-        h = flat_o @ p["mix"]
-        h += flat_x
-
-        def logits() -> np.ndarray:
-            z = h @ p["out"]
-            z += p["bias"]
-            return z
-
+        qkv = (flat_x @ weights).reshape(*rows.shape, 3 * WIDTH)
+        q, k, v = (qkv[..., i : i + WIDTH] for i in range(0, 3 * WIDTH, WIDTH))
+        s, share, o = self.attend(q, k, v)
+        h, classes = with_one(o, x), self.classes()
+        logits = lambda: h @ classes
         z, at = logits(), np.arange(len(h)) * CLASSES + cls
         t = z.reshape(-1)[at]
         z, total, top = exp_and_sum(z, logits)
         t -= top
-        z *= (w / (n * total)).astype(z.dtype)[:, None]
-        z.reshape(-1)[at] -= w / z.dtype.type(n)
-        g["out"] += h.T @ z
-        g["bias"] += np.ones(len(z), z.dtype) @ z
+        # the gradient of a row of logits is z times ``per``, which multiplies the shorter rows instead
+        z.reshape(-1)[at] -= total
+        per = (w / (n * total)).astype(z.dtype)[:, None]
+        h *= per
+        of_classes = summed_products(h, z)
+        g["out"] += of_classes[:-1]
+        g["bias"] += of_classes[-1]
         dh = z @ p["out"].T.copy()
-        g["mix"] += flat_o.T @ dh
-        do = (dh @ p["mix"].T).reshape(o.shape)
+        dh *= per
+        do = dh.reshape(o.shape) * share
         ds = do @ v.transpose(0, 2, 1).copy()
+        ds -= ((do * o).reshape(-1, WIDTH) @ np.ones(WIDTH, z.dtype)).reshape(*rows.shape, 1)
         ds *= s
-        own = ds.reshape(-1, WINDOW) @ np.ones(WINDOW, z.dtype)
-        ds -= s * own.reshape(*rows.shape, 1)
         d = np.empty((*rows.shape, 3 * WIDTH), z.dtype)
         np.matmul(ds, k, out=d[..., :WIDTH])
         np.matmul(ds.transpose(0, 2, 1), q, out=d[..., WIDTH : 2 * WIDTH])
         np.matmul(s.transpose(0, 2, 1), do, out=d[..., 2 * WIDTH :])
         d = d.reshape(-1, 3 * WIDTH)
-        of_weights = (d.T @ flat_x).T
+        of_weights = summed_products(flat_x, d)
         of_weights[:, :WIDTH] *= WIDTH**-0.5
+        of_mixed = of_weights[:, 2 * WIDTH :].copy()
+        g["mix"] += p["qkv"][:, 2 * WIDTH :].T @ of_mixed
+        of_weights[:, 2 * WIDTH :] = of_mixed @ p["mix"].T
         g["qkv"] += of_weights
         np.add(dh.reshape(x.shape), (d @ weights.T).reshape(x.shape), out=dx)
         g["pos"] += dx.sum(axis=0)
@@ -414,23 +441,23 @@ class Adam:
         self.network, self.steps = network, 0
         self.w = network.flat()
         network.p = network.views(self.w)
-        self.m, self.u = np.zeros_like(self.w), np.zeros_like(self.w)
+        self.m, self.u, self.d = np.zeros_like(self.w), np.zeros_like(self.w), np.zeros_like(self.w)
+        self.g = network.views(self.d)
 
     def step(self, rows: np.ndarray, cls: np.ndarray, scored: np.ndarray, rate: float) -> float:
-        loss, d = self.network.flat_gradients(rows, cls, scored)
+        loss, _ = self.network.gradients(rows, cls, scored, g=self.g)
         self.steps += 1
         lr = rate * (1 - 0.999**self.steps) ** 0.5 / (1 - 0.9**self.steps)
-        m, u = self.m, self.u
+        m, u, d = self.m, self.u, self.d  # ten and a thousand times the moments
         m *= 0.9
-        m += 0.1 * d
+        m += d
         d *= d
-        d *= 0.001
         u *= 0.999
         u += d
         np.sqrt(u, out=d)
-        d += 1e-8
+        d += 1e-8 * 1000**0.5
         np.divide(m, d, out=d)
-        d *= lr
+        d *= lr * 0.1 * 1000**0.5
         self.w -= d
         return loss
 
@@ -486,10 +513,16 @@ class Scorer:
             hi = max(lo + 1, int(np.searchsorted(end, first + SCORED, side="right")))
             given, target, scored, doc = windows(ids[first : end[hi - 1]], lengths[lo:hi])
             rows, cls = self.vocabulary.row[given], self.vocabulary.cls[target]
-            lp = [self.network.log_probs(rows[i : i + batch], cls[i : i + batch], scored[i : i + batch], tables) for i in range(0, len(doc), batch)]
-            each = np.concatenate(lp) + self.vocabulary.share[target[scored]]
-            out[lo:hi] = np.bincount(np.repeat(doc, scored.sum(axis=1)), weights=each, minlength=hi - lo)
+            begins = scored[:, 0]  # the windows at a text's start; the others score no place before ``WINDOW - STRIDE``
+            of_window, per = np.empty(len(doc)), scored.sum(axis=1)
+            for since, some in ((0, np.flatnonzero(begins)), (WINDOW - STRIDE, np.flatnonzero(~begins))):
+                parts = [some[i : i + batch] for i in range(0, len(some), batch)]
+                lp = [self.network.log_probs(rows[w], cls[w, since:], scored[w, since:], tables, since) for w in parts]
+                if lp:  # every window scores a place
+                    of_window[some] = np.add.reduceat(np.concatenate(lp), np.cumsum(per[some]) - per[some], dtype=np.float64)
+            out[lo:hi] = np.bincount(doc, weights=of_window, minlength=hi - lo)
             lo = hi
+        out += np.bincount(np.repeat(np.arange(len(lengths)), lengths), self.vocabulary.share[ids], len(lengths))
         return out / np.log(10)
 
 
@@ -592,16 +625,17 @@ def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
             for lo, hi, _, _ in chunks(b.column(2)):
                 ids, lengths = stored_ids(b.column(2).slice(lo, hi - lo))
                 keys, per = words_of_ids(ids, lengths)
-                known, base, rare, rare_n = _base(m, keys, per)
+                known, base, rare, times, rare_n = _base(m, keys, per)
+                edge = pa.array(np.append(0, np.cumsum(rare_n)).astype(np.int32))
                 score = m.texts(ids, lengths)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + hi - lo)), b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.array(per + 1), pa.array(known), pa.array(base), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rare_n)).astype(np.int32)), pa.array(rare.view(np.int64))), pa.array(score)], ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "rare", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + hi - lo)), b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.array(per + 1), pa.array(known), pa.array(base), pa.ListArray.from_arrays(edge, pa.array(rare.view(np.int64))), pa.ListArray.from_arrays(edge, pa.array(times)), pa.array(score)], ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "rare", "times", "score"])
                 row += hi - lo
 
     rows = tokens.filter("kind is null").select("doc_id", "held_out", "ids")
-    rows = stored(rows.mapInArrow(judge, "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, rare array<long>, score double"), "scores")
+    rows = stored(rows.mapInArrow(judge, "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, rare array<long>, times array<long>, score double"), "scores")
     release(since, counts, rows)
     seen = counts.filter("kind = 0").select(F.col("key").alias("c_key"), F.col("n").alias("c"))
-    rare = rows.select("rid", F.explode("rare").alias("h")).groupBy("rid", "h").agg(F.count("*").alias("k")).join(seen, F.col("h") == F.col("c_key"), "left")
+    rare = rows.select("rid", F.inline(F.arrays_zip("rare", "times")).alias("h", "k")).join(seen, F.col("h") == F.col("c_key"), "left")
     rare = rare.groupBy(F.col("rid").alias("r_rid")).agg(F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("r_base"), F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("r_known"))
     out = rows.join(rare, F.col("rid") == F.col("r_rid"), "left")
     zero = float(np.log10(total + 0.5 * (distinct + 1)))
@@ -609,9 +643,9 @@ def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("r_known", F.lit(0))).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
-def _base(m: Scorer, keys: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _base(m: Scorer, keys: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per document: known tokens and sum of log10(c + 0.5) of its end and its frequent
-    words; the keys of its other words, and their number."""
+    words; the keys of its other words, each once, how often it has them, and their number."""
     n = m.top.counts(keys)
     end = max(0, int(m.top.counts(np.array([END_WORD]))[0]))  # in ``top`` if it was counted
     sure = (n >= 0) | m.complete  # other words are certain if all are in ``top``
@@ -620,4 +654,8 @@ def _base(m: Scorer, keys: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.
     doc = np.repeat(np.arange(docs), per)
     base = np.bincount(doc, weights=np.where(sure, np.log10(n + 0.5), 0.0), minlength=docs) + np.log10(end + 0.5)
     seen = np.bincount(doc[n > 0], minlength=docs) + int(end > 0)
-    return seen, base, keys[~sure], np.bincount(doc[~sure], minlength=docs)
+    rare, of = keys[~sure], doc[~sure]
+    order = np.lexsort((rare, of))
+    rare = rare[order]  # ``of`` ascends already
+    head = np.flatnonzero(np.r_[True, (rare[1:] != rare[:-1]) | (of[1:] != of[:-1])][: len(rare)])
+    return seen, base, rare[head], np.diff(np.append(head, len(rare))), np.bincount(of[head], minlength=docs)

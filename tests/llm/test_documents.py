@@ -648,3 +648,45 @@ def test_classes_are_as_many_as_before_the_cut():
     cls = m.Vocabulary.of(np.arange(m.VOCABULARY)[::-1].copy()).cls
     sizes = np.bincount(cls, minlength=m.CLASSES)
     assert len(sizes) >= 64 and (sizes == 1).sum() >= 48 and sizes.min() > 0 and m.WINDOW >= 32
+
+
+def test_scoring_works_on_scored_places(monkeypatch):
+    """Attention asks for the places that a window scores: 24 of 32 after a text's first window."""
+    m, r = attention_lm, np.random.default_rng(5)
+    v = m.Vocabulary.of(np.arange(m.VOCABULARY))
+    scorer = m.Scorer(v, m.Network.fresh(np.full(m.CLASSES, 1 / m.CLASSES)), m.Frequent(np.zeros(0, np.uint64), np.zeros(0, np.int64)), True)
+    n = m.WINDOW + 10 * m.STRIDE
+    ids, sizes, exp = r.integers(0, m.VOCABULARY, n), [], np.exp
+    want = scorer.texts(ids, np.array([n]))
+    monkeypatch.setattr(np, "exp", lambda x, **k: (sizes.append(np.size(x)), exp(x, **k))[1])
+    assert scorer.texts(ids, np.array([n])) == want
+    assert sum(sizes) == (m.WINDOW + 10 * m.STRIDE) * m.WINDOW + n * m.CLASSES
+
+
+def test_gradients_in_single_precision():
+    """Parts, blocks of rows and what remains of them add up to the gradients in double precision."""
+    m, r = attention_lm, np.random.default_rng(7)
+    x, y = r.random((m.WINDOW * 11, 5)), r.random((m.WINDOW * 11, 3))
+    assert np.allclose(m.summed_products(x, y), x.T @ y) and np.allclose(m.summed_products(x[:40], y[:40]), x[:40].T @ y[:40])
+    rows, cls = r.integers(0, 50, (75, m.WINDOW)).astype(np.int16), r.integers(0, m.CLASSES, (75, m.WINDOW)).astype(np.int16)
+    scored = r.random(rows.shape) < 0.7
+    nets = [m.Network.fresh(np.full(m.CLASSES, 1 / m.CLASSES), dtype=t) for t in (np.float32, np.float64)]
+    nets[1].p = {k: x.astype(np.float64) for k, x in nets[0].p.items()}
+    (loss, g), (want_loss, want) = (net.gradients(rows, cls, scored) for net in nets)
+    assert abs(loss - want_loss) < 1e-4
+    assert all(g[k].dtype == np.float32 and abs(g[k] - want[k]).max() < 1e-6 + 1e-4 * abs(want[k]).max() for k in want)
+
+
+def test_rare_words_are_looked_up_once_a_document():
+    """The join gets each rare word of a document once, with its number of places."""
+    m = attention_lm
+    raw = [b"a b b c a b", b"", b"b c c", b"d"]
+    c = m.read_chunk(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    keys, per = m.words_of_ids(*m.sequences(c))
+    a, b, other, d = keys[0], keys[1], keys[3], keys[-1]
+    top = m.Frequent(np.array([a, m.END_WORD]), np.array([7, 4]))
+    known, base, rare, times, n = m._base(m.Scorer(None, None, top, False), keys, per)
+    assert known.tolist() == [3, 1, 1, 1] and n.tolist() == [2, 0, 2, 1]
+    got = [dict(zip(k.tolist(), t.tolist(), strict=True)) for k, t in zip(np.split(rare, np.cumsum(n)[:-1]), np.split(times, np.cumsum(n)[:-1]), strict=True)]
+    assert got == [{b: 3, other: 1}, {}, {b: 1, other: 2}, {d: 1}]
+    assert np.allclose(base, np.log10(4.5) + np.array([2, 0, 0, 0]) * np.log10(7.5))
