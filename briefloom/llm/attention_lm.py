@@ -127,9 +127,10 @@ def words_of_ids(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     first = _encoder()[1][ids]
     head = np.flatnonzero(first)
     edge = np.flatnonzero(first | (ids == END))
+    after = edge[np.flatnonzero(first[edge]) + 1]  # a word ends where the next one or the document's end is
     off = np.append(0, np.cumsum(lengths))
     per = np.diff(np.searchsorted(head, off))
-    return word_keys(ids, head, edge[np.searchsorted(edge, head) + 1]), per
+    return word_keys(ids, head, after), per
 
 
 def sequences(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -263,9 +264,9 @@ def with_one(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def summed_products(x: np.ndarray, y: np.ndarray, rows: int = 8 * WINDOW) -> np.ndarray:
     """x.T @ y from ``rows`` rows at a time, in which long thin matrices are multiplied faster."""
     n = len(x) // rows * rows
-    out = x[n:].T @ y[n:]
-    out += (x[:n].reshape(-1, rows, x.shape[1]).transpose(0, 2, 1) @ y[:n].reshape(-1, rows, y.shape[1])).sum(axis=0)
-    return out
+    out = y[n:].T @ x[n:]
+    out += (y[:n].reshape(-1, rows, y.shape[1]).transpose(0, 2, 1) @ x[:n].reshape(-1, rows, x.shape[1])).sum(axis=0)
+    return out.T
 
 
 #: 1 at the places of a window up to each place, 0 at those after it.
@@ -398,9 +399,8 @@ class Network:
         z.reshape(-1)[at] -= total
         per = (w / (n * total)).astype(z.dtype)[:, None]
         h *= per
-        of_classes = summed_products(h, z)
-        g["out"] += of_classes[:-1]
-        g["bias"] += of_classes[-1]
+        g["out"] += summed_products(h[:, :-1], z)
+        g["bias"] += per[:, 0] @ z
         dh = z @ p["out"].T.copy()
         dh *= per
         do = dh.reshape(o.shape) * share
@@ -412,7 +412,7 @@ class Network:
         np.matmul(ds.transpose(0, 2, 1), q, out=d[..., WIDTH : 2 * WIDTH])
         np.matmul(s.transpose(0, 2, 1), do, out=d[..., 2 * WIDTH :])
         d = d.reshape(-1, 3 * WIDTH)
-        of_weights = summed_products(flat_x, d)
+        of_weights = summed_products(flat_x, d).copy()
         of_weights[:, :WIDTH] *= WIDTH**-0.5
         of_mixed = of_weights[:, 2 * WIDTH :].copy()
         g["mix"] += p["qkv"][:, 2 * WIDTH :].T @ of_mixed
