@@ -585,21 +585,25 @@ def fit(tokens: DataFrame, counts: DataFrame, top_words: int = TOP_WORDS) -> tup
     training: ``ROUNDS`` deals the texts by a hash, each to one round, and a round
     starts from what the rounds before have learned (see ``learn_round``).
     """
-    totals = counts.filter("kind = 0").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    counted = counts.filter("kind = 0")
+    times = counted.groupBy("n").agg(F.count("*").alias("v")).toArrow()  # at most sqrt(2 N) rows
+    n, v = (times[x].to_numpy() for x in ("n", "v"))
+    order = np.argsort(-n)
+    least = n[order[: 1 + int((np.cumsum(v[order]) < top_words).sum())]].min(initial=np.iinfo(np.int64).max)  # the last one's count
     ids = np.zeros(VOCABULARY, np.int64)
     for r in counts.filter("kind = 1").select("key", "n").collect():  # 50,257 rows at most
         ids[r["key"]] = r["n"]
-    top = counts.filter("kind = 0").orderBy(F.col("key") != int(END_WORD), F.desc("n"), "key").limit(top_words).select("key", "n").toArrow()
+    top = counted.filter((F.col("n") >= int(least)) | (F.col("key") == int(END_WORD))).orderBy(F.col("key") != int(END_WORD), F.desc("n"), "key").limit(top_words).select("key", "n").toArrow()
     key = top["key"].to_numpy().view(np.uint64)
     vocabulary = Vocabulary.of(ids)
     prior = np.bincount(vocabulary.cls, weights=ids + 0.5, minlength=CLASSES)
     network = Network.fresh(prior / prior.sum())
     low = 0
-    for n, rate in ROUNDS:
-        network = learn_round(tokens.filter(f"kind is null and not held_out and place >= {low} and place < {low + n}"), vocabulary, network, rate)
-        low += n
+    for parts, rate in ROUNDS:
+        network = learn_round(tokens.filter(f"kind is null and not held_out and place >= {low} and place < {low + parts}"), vocabulary, network, rate)
+        low += parts
     scorer = Scorer(vocabulary, network, Frequent(key, top["n"].to_numpy()), len(key) < top_words)
-    return scorer, int(totals["n"] or 0), int(totals["v"] or 0)
+    return scorer, int((n * v).sum()), int(v.sum())
 
 
 def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
