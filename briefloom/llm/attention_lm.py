@@ -326,8 +326,7 @@ class Network:
     def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The attention's weights before division by their sums, what to multiply them by for
         that, and the output, from queries (of a window's last places) and all keys and values."""
-        columns = k.transpose(0, 2, 1).copy()  # products of matrices in rows are faster
-        products = lambda: q @ columns
+        products = lambda: q @ k.transpose(0, 2, 1)
         s, total, _ = exp_and_sum(products(), products, EARLIER[WINDOW - q.shape[1] :])
         part = (1 / total)[..., None]
         o = s @ v
@@ -404,7 +403,7 @@ class Network:
         dh = z @ p["out"].T.copy()
         dh *= per
         do = dh.reshape(o.shape) * share
-        ds = do @ v.transpose(0, 2, 1).copy()
+        ds = do @ v.transpose(0, 2, 1)
         ds -= ((do * o).reshape(-1, WIDTH) @ np.ones(WIDTH, z.dtype)).reshape(*rows.shape, 1)
         ds *= s
         d = np.empty((*rows.shape, 3 * WIDTH), z.dtype)
