@@ -145,3 +145,10 @@ def test_bare_names_are_skipped(spark):
     kinds = "ord long, headline string, client string, source string, url string, snippet string, law_firms array<string>, transaction_types array<string>, people array<struct<name:string,role:string,firm:string,client:string>>"
     s = star(spark.createDataFrame([row], kinds))
     assert [r["name"] for r in s.people.collect()] == ["Ann Lee"] and s.counters.first()["skipped_people"] == 2
+
+
+def test_bridges_need_no_join_of_rows(spark):
+    s = star(spark, [deal("One", "a", types=["IPO"], firms=["ACL"], people=[("Ann Lee", None)]), deal("Two", None, types=["merger"]), deal("Two", None, types=["QIP"])])
+    plans = [t._jdf.queryExecution().optimizedPlan().toString() for t in (s.deal_types, s.deal_practice_areas)]
+    assert not any("Join" in p for p in plans), "rows joined with rows, which Spark may broadcast"
+    assert rows(s.deal_types, "deal_id", "type") == [(1, "IPO"), (2, "QIP"), (2, "merger")]
