@@ -152,3 +152,17 @@ def test_bridges_need_no_join_of_rows(spark):
     plans = [t._jdf.queryExecution().optimizedPlan().toString() for t in (s.deal_types, s.deal_practice_areas)]
     assert not any("Join" in p for p in plans), "rows joined with rows, which Spark may broadcast"
     assert rows(s.deal_types, "deal_id", "type") == [(1, "IPO"), (2, "QIP"), (2, "merger")]
+
+
+def test_summary_is_the_people_table_without_lists_of_deals(spark):
+    s = star(spark, [
+        deal("One", "a", client="W", firms=["Zed Law"], types=["IPO", "merger"], people=[("Ann Lee", "Partner"), ("Cy Dee", None, "Roe")]),
+        deal("Two", "b", client="V", firms=["Zed Law"], types=["merger"], people=[("Bo Ray", None), ("Ann Lee", None, "Roe", "Own"), ("Ann Lee", None)]),
+        deal("Three", "c", client="W", firms=["Zed Law"], people=[("Ann Lee", None), ("Eli Fir", None, "his chambers")]),
+        deal("Ann Lee joins Zed Law", "d", firms=["Zed Law"], people=[("Gus Oak", None)]),
+    ])
+    same = ["id", "name", "firm", "role", "role_bucket", "transaction_types", "practice_areas", "clients", "snapshot"]
+    want = sorted((*[r[c] for c in same], len(r["deals"])) for r in directory.people_table(s).collect())
+    small = directory.summary(s)
+    assert sorted(tuple(r[c] for c in [*same, "n_deals"]) for r in small.collect()) == want
+    assert "headline" not in {f.name for c in small.schema for f in getattr(getattr(c.dataType, "elementType", None), "fields", [])}
