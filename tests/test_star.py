@@ -166,3 +166,11 @@ def test_summary_is_the_people_table_without_lists_of_deals(spark):
     small = directory.summary(s)
     assert sorted(tuple(r[c] for c in [*same, "n_deals"]) for r in small.collect()) == want
     assert "headline" not in {f.name for c in small.schema for f in getattr(getattr(c.dataType, "elementType", None), "fields", [])}
+
+
+def test_namesakes_are_counted_without_lists(spark):
+    people = spark.createDataFrame([(1, "Ann Lee"), (2, "ANN LEE"), (4, "Bo Ray"), (8, "ann lee")], "id long, name string")
+    known = spark.createDataFrame([("ANN LEE", ("SAME_PERSON_MOVED", "x", "Roe"))], "name string, verdict struct<verdict:string,evidence:string,current_firm:string>")
+    groups = directory.namesakes(people, known, F.sum("id").alias("sum"))
+    assert [(r["low"], r["n"], r["sum"], r["firm_verification"]["verdict"]) for r in groups.collect()] == [("ann lee", 3, 11, "SAME_PERSON_MOVED")]
+    assert "collect_list" not in groups._jdf.queryExecution().optimizedPlan().toString()
