@@ -174,3 +174,14 @@ def test_namesakes_are_counted_without_lists(spark):
     groups = directory.namesakes(people, known, F.sum("id").alias("sum"))
     assert [(r["low"], r["n"], r["sum"], r["firm_verification"]["verdict"]) for r in groups.collect()] == [("ann lee", 3, 11, "SAME_PERSON_MOVED")]
     assert "collect_list" not in groups._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_statistics_need_no_table_of_people(spark):
+    s = star(spark, [
+        deal("One", "a", firms=["Zed Law"], types=["IPO", "merger"], people=[("Ann Lee", None), ("Cy Dee", None, "Roe")]),
+        deal("Two", "b", firms=["Zed Law"], types=["financing"]),
+        deal("Three", "c", firms=["Zed Law"], types=["IPO"], people=[("Bo Ray", None)]),
+    ])
+    out = directory.statistics(s)
+    assert tuple(out.first()) == tuple(directory.statistics(s, directory.people_table(s)).first()) == (3, 2, 3, 2)
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
