@@ -47,11 +47,12 @@ class State:
 def parse(articles: DataFrame, dims: Dims = DEFAULT, detector: Callable | None = None) -> DataFrame:
     """Deal records of pages with ``error``; one bad page costs itself only."""
     failed = F.col("html").isNull() | (F.trim("html") == "") | F.col("headline").isNull()
-    read = articles.filter(~failed).withColumn("paragraphs", paragraphs_of("html"))
-    good = read.filter("paragraphs is not null")
+    # The pages are parsed once, into a table without their markup, which three plans read.
+    read = stored(articles.select("ord", "url", "headline", failed.alias("failed"), paragraphs_of("html").alias("paragraphs")), "paragraphs")
+    good = read.filter("not failed and paragraphs is not null")
     records = parse_articles(good.select("ord", "url", "headline", "paragraphs"), dims, detector).withColumn("error", F.lit(None).cast("string"))
-    bad = articles.filter(failed).select("ord", "url", "headline", F.lit("no page").alias("error"))
-    broken = read.filter("paragraphs is null").select("ord", "url", "headline", F.lit("page cannot be parsed").alias("error"))
+    bad = read.filter("failed").select("ord", "url", "headline", F.lit("no page").alias("error"))
+    broken = read.filter("not failed and paragraphs is null").select("ord", "url", "headline", F.lit("page cannot be parsed").alias("error"))
     return records.unionByName(bad, allowMissingColumns=True).unionByName(broken, allowMissingColumns=True)
 
 
@@ -66,7 +67,7 @@ def run_batch(articles: DataFrame, batch: int, state: State, dims: Dims = DEFAUL
     fresh = articles.join(seen, "url", "left_anti")
     plain = with_signals(fresh.withColumn("snippet", F.lit(None).cast("string")))
     fresh = unknown_links(plain, index).select(*articles.columns)
-    out = stored(batch_filter(parse(fresh, dims, detector), index), "batch")
+    out = stored(batch_filter(stored(parse(fresh, dims, detector), "records"), index), "batch")
     added = out.filter("status = 'added'")
     columns = ["ord", "headline", "client", "source", "url", "snippet", "law_firms", "transaction_types", "people"]
     state.write("deals", added.select(*columns), batch)

@@ -99,3 +99,20 @@ def test_reparse_keeps_old_records_on_failure(spark):
 def test_greedy_keeps_rows_without_a_signal(spark):
     df = spark.createDataFrame([(1, None, None, None), (2, None, None, None), (3, "https://a.in/x", None, None), (4, "https://a.in/x", None, None)], "ord long, url string, headline string, snippet string")
     assert sorted(r["ord"] for r in dedup.greedy(df).collect()) == [1, 2, 3]
+
+
+def test_a_batch_parses_a_page_once(spark, monkeypatch):
+    from briefloom.streaming import incremental
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def counted(html):
+        calls.add(1)
+        return [html]
+
+    monkeypatch.setattr(incremental, "paragraphs_of", counted)
+    pages = spark.createDataFrame([(i, f"https://x.example/{i}", f"H {i}", "text") for i in range(5)], "ord long, url string, headline string, html string").repartition(2).cache()
+    assert incremental.parse(pages).count() == 5
+    rows = incremental.parse(pages).collect()
+    assert len(rows) == 5 and calls.value == 10
